@@ -147,18 +147,23 @@ def correlation(df: DataFrame, x: str, y: str, out: str = "correlation") -> Data
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every pair in long form (`x`, `y`, `r`), all pairs in one pass.
+    """Pearson correlation of every pair of columns in long form (`x`, `y`, `r`), in one pass.
 
-    Each pair uses the rows that have both values.
+    Each pair uses the rows that have both values. A row fans out into one (pair, x, y) entry per pair,
+    so that a single aggregate with a handful of buffers serves every pair: one aggregate per pair would
+    outgrow code generation. Entries meet in the map-side aggregate; a task ships one row per pair.
     """
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+    pairs = list(combinations_with_replacement(cols, 2))
     entries = [
-        F.struct(F.lit(cols[a]).alias("x"), F.lit(cols[b]).alias("y"), F.col(f"r_{i}_{j}").alias("r"))
-        for i, j in pairs
-        for a, b in {(i, j), (j, i)}
+        F.struct(F.lit(i).alias("pair"), F.col(x).cast("double").alias("a"), F.col(y).cast("double").alias("b"))
+        for i, (x, y) in enumerate(pairs)
     ]
-    return row.select(F.inline(F.array(*entries)))
+    by_pair = df.select(F.inline(F.array(*entries))).groupBy("pair").agg(F.corr("a", "b").alias("r"))
+    first, second = (F.array(*[F.lit(pair[side]) for pair in pairs]) for side in (0, 1))
+    named = by_pair.select(
+        F.get(first, F.col("pair")).alias("x"), F.get(second, F.col("pair")).alias("y"), "r"
+    )
+    return named.unionByName(named.filter("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:

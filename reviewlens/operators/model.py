@@ -92,22 +92,20 @@ def term_statistics(df: DataFrame, text: str = "text", min_doc_freq: int = 5) ->
     """Per term: occurrences, documents that hold it, and the inverse document frequency.
 
     The statistics behind the text half of the vector, over the whole vocabulary: a document counts a
-    term once, and a term in fewer than `min_doc_freq` documents has weight 0. Sorting each document's
-    own words marks first occurrences, so the text is read once and only (term, counts) is shuffled.
+    term once, and a term in fewer than `min_doc_freq` documents has weight 0. Each document gives its
+    words twice, once all of them and once each distinct one, so the text is read once and nothing but
+    (term, counts) is shuffled.
     """
     stop = StopWordsRemover.loadDefaultStopWords("english")
-    trimmed = F.regexp_replace(F.lower(F.col(text)), "\\s+$", "")
-    words = F.array_sort(F.filter(F.split(trimmed, "\\s"), lambda w: ~w.isin(stop)))
+    words = F.split(F.regexp_replace(F.lower(F.col(text)), "\\s+$", ""), "\\s")
     n_docs = df.agg(F.count(F.lit(1))).scalar()
-    marked = F.transform(
-        F.col("w"),
-        lambda w, i: F.struct(w.alias("term"), ((i == 0) | (F.get(F.col("w"), i - 1) != w)).alias("first")),
-    )
     counts = (
-        df.select(words.alias("w"))
-        .select(F.inline(marked))
+        df.select(words.alias("words"))
+        .select(F.posexplode(F.array("words", F.array_distinct("words"))).alias("once", "words"))
+        .select("once", F.explode("words").alias("term"))
+        .filter(~F.col("term").isin(stop))
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_total"), F.count_if(F.col("first")).alias("n_docs"))
+        .agg(F.count_if(F.col("once") == 0).alias("n_total"), F.count_if(F.col("once") == 1).alias("n_docs"))
     )
     weight = F.log((n_docs + F.lit(1.0)) / (F.col("n_docs") + F.lit(1.0)))
     return counts.withColumn("idf", F.when(F.col("n_docs") >= min_doc_freq, weight).otherwise(F.lit(0.0)))

@@ -61,7 +61,7 @@ def balance_classes(
     A class smaller than the anchor is kept whole too. The fractions are a table of one row per class.
     """
     counts = class_counts(df, label, classes)
-    anchor_n = counts.filter(F.col(label) == anchor).agg(F.max("n_class")).scalar()
+    anchor_n = counts.agg(F.max(F.when(F.col(label) == anchor, F.col("n_class")))).scalar()
     fractions = counts.select(
         label, F.least(F.lit(1.0), F.try_divide(anchor_n, F.col("n_class"))).alias("_fraction")
     )

@@ -29,7 +29,7 @@ from reviewlens.operators.model import (
 from reviewlens.operators.aggregates import histogram
 from reviewlens.operators.sampling import balance_classes, sample_fraction, split
 from reviewlens.plans.eda import VOTES
-from reviewlens.sources import cut_lineage
+from reviewlens.sources import cut_lineage, training_rows
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,7 @@ def train_models(
     The training rows are checkpointed before the iterative fits, so that a lost executor costs a read
     of the checkpoint and not the joins again. The neural network trains and is tested on a sub-sample.
     """
-    train = cut_lineage(add_class_weights(cut_lineage(train, checkpoint_dir)), checkpoint_dir)
+    train = add_class_weights(training_rows(train, cfg.key, checkpoint_dir))
     pipeline = build_feature_pipeline(cfg.models).fit(train)
     train_x = featurize(pipeline, train).persist(StorageLevel.MEMORY_AND_DISK)
     test_x = featurize(pipeline, add_class_weights(cut_lineage(test, checkpoint_dir)))

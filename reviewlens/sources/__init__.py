@@ -1,4 +1,4 @@
-from reviewlens.sources.lineage import cut_lineage
+from reviewlens.sources.lineage import cut_lineage, training_rows
 from reviewlens.sources.models import load_models, save_models
 from reviewlens.sources.tables import (
     export_counts,
@@ -12,5 +12,5 @@ from reviewlens.sources.tables import (
 
 __all__ = [
     "cut_lineage", "export_counts", "from_rows", "load_models", "read_counts", "read_features",
-    "read_table", "register_views", "save_models", "write_features",
+    "read_table", "register_views", "save_models", "training_rows", "write_features",
 ]

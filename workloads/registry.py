@@ -8,10 +8,12 @@ from functools import cache
 from pathlib import Path
 
 import pyspark
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.functions import (
+    assign_category,
     date_parts,
     human_format,
     item_count,
@@ -27,12 +29,13 @@ from reviewlens.operators import clean, quality, sampling
 from reviewlens.operators import evaluate as ev
 from reviewlens.operators import ranking as rank
 from reviewlens.operators import reputation as rep
-from reviewlens.operators.features import NUMERIC_FEATURES, text_features, user_features
+from reviewlens.operators.features import text_features, user_features
 from reviewlens.operators.joins import tip_counts
 from reviewlens.operators.model import add_class_weights, term_statistics
 from reviewlens.operators.words import NOISE_WORDS, word_table, words_for_businesses
 from reviewlens.plans.eda import clean_businesses
 from reviewlens.sources import register_views
+from workloads import models as ml
 from workloads import standins as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -364,18 +367,6 @@ def _(spark, sf):
     return agg.category_sentiment_counts(st.reviews(spark, sf), shops(spark, sf))
 
 
-def wide_reviews(spark: SparkSession, sf: str, review: DataFrame, spread: list[str]) -> DataFrame:
-    """Feature table of `review` over the stand-in dimensions."""
-    from reviewlens.operators.features import feature_table
-    from reviewlens.operators.joins import build_wide
-
-    shop = st.businesses(spark, sf).withColumn("categories", split_list(F.col("categories")))
-    wide = build_wide(
-        review, shop, st.users(spark, sf), st.checkins(spark, sf), st.tips(spark, sf), spread=spread
-    )
-    return feature_table(wide)
-
-
 @query("wide_features", f"""
     SELECT r.review_id, r.l_linenumber, r.business_id, r.user_id,
            CASE WHEN r.stars <= 2 THEN 0 WHEN r.stars = 3 THEN 1 ELSE 2 END AS label,
@@ -393,7 +384,7 @@ def wide_reviews(spark: SparkSession, sf: str, review: DataFrame, spread: list[s
     LEFT JOIN (SELECT user_id, count(*) AS n FROM ({st.TIPS}) GROUP BY 1) ut USING (user_id)
     LEFT JOIN (SELECT business_id, count(*) AS n FROM ({st.TIPS}) GROUP BY 1) bt USING (business_id)""")
 def _(spark, sf):
-    wide = wide_reviews(spark, sf, st.reviews(spark, sf), ["review_id", "l_linenumber"])
+    wide = ml.wide_table(spark, sf, st.reviews(spark, sf), ["review_id", "l_linenumber"])
     cols = ("review_id l_linenumber business_id user_id label review_length num_caps average_stars "
             "user_review_count fans user_activity user_engagement business_stars business_review_count "
             "is_open state checkin_count user_tip_count business_tip_count year month").split()
@@ -579,8 +570,6 @@ for _name, _dir, _pick in (("topk_business_words", "DESC", rank.top_businesses),
         SELECT word, count(*) AS count FROM ({_WORDS}) WHERE business_id IN (SELECT business_id FROM ids)
         GROUP BY word ORDER BY count DESC, word LIMIT 20""")
     def _(spark, sf, pick=_pick):
-        from reviewlens.functions import assign_category
-
         shop = assign_category(st.text_businesses(spark, sf), rules=st.RULES)
         return words_for_businesses(st.text_reviews(spark, sf), pick(shop, "Hardware", 5))
 
@@ -777,3 +766,61 @@ def _(spark, sf):
     LEFT JOIN (SELECT bin, count(*) AS n FROM binned GROUP BY bin) b USING (bin), edges""")
 def _(spark, sf):
     return rounded(agg.histogram(st.table(spark, sf, "lineitem"), "l_extendedprice"), "bin_start", "mean")
+
+
+# ---------------------------------------------------------------- models (no SQL form)
+
+
+@query("feature_pipeline")
+def _(spark, sf):
+    entries = vector_to_array(F.col("features"))
+    return ml.trained(spark, sf).features.select(
+        "review_id", "label", "classWeight", F.size(entries).alias("n_features"),
+        F.size(F.filter(entries, lambda v: v != 0)).alias("n_nonzero"),
+    )
+
+
+for _name in ("lr", "rf", "mlp"):
+    @query(f"score_{_name}")
+    def _(spark, sf, name=_name):
+        rounded_probs = F.transform(vector_to_array(F.col("probability")), lambda p: F.round(p, 6))
+        scored = ml.labelled_predictions(spark, sf, name)
+        return scored.select("review_id", "label", "prediction", *[
+            F.get(rounded_probs, F.lit(c)).alias(f"probability_{c}") for c in ev.CLASSES])
+
+
+@query("sentiment_scores")
+def _(spark, sf):
+    scored = ml.scored_texts(spark, sf)
+    cols = ("review_id", "business_id", "prediction", "pos_prob", "neg_prob", "sentiment_score")
+    return rounded(scored.select(*cols), "pos_prob", "neg_prob", "sentiment_score")
+
+
+@query("sentiment_reputation")
+def _(spark, sf):
+    return rep.business_reputation(ml.scored_texts(spark, sf), MIN_BUSINESS)
+
+
+@query("compare_models")
+def _(spark, sf):
+    names = {"Logistic Regression": "lr", "Random Forest": "rf", "MLP": "mlp"}
+    return ev.compare_models({k: ml.labelled_predictions(spark, sf, v) for k, v in names.items()})
+
+
+@query("lr_importance")
+def _(spark, sf):
+    fit = ml.trained(spark, sf)
+    return ev.lr_importance(spark, fit.pipeline, fit.lr())
+
+
+@query("rf_importance")
+def _(spark, sf):
+    fit = ml.trained(spark, sf)
+    return ev.rf_importance(spark, fit.pipeline, fit.rf())
+
+
+for _name, _class in (("negative_drivers", 0), ("positive_drivers", 2)):
+    @query(_name)
+    def _(spark, sf, cls=_class):
+        fit = ml.trained(spark, sf)
+        return ev.class_drivers(spark, fit.pipeline, fit.lr(), cls)

@@ -189,7 +189,8 @@ def scored_reviews(spark: SparkSession, sf: str) -> DataFrame:
         F.when(valid, pos).alias("pos_prob"),
         F.when(valid, (1 - pos) / 2).alias("neg_prob"),
     ).withColumn("sentiment_score", F.col("pos_prob") - F.col("neg_prob"))
-    return skew_join(rows, about, "business_id", hot=hot_keys(lines, "business_id"))
+    hot = hot_keys(lines, "business_id")
+    return skew_join(rows, about, "business_id", hot=hot, spread=["review_id", "l_linenumber"])
 
 
 SCORED = f"""
