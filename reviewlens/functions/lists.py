@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def split_list(col: Column, sep: str = ", ", trim: bool = False) -> Column:
     """Split a delimited string into an array, with its items trimmed if asked; null stays null."""
     items = F.split(col, re.escape(sep))
-    return F.transform(items, F.trim) if trim else items
+    return F.transform(items, lambda item: F.trim(item)) if trim else items
 
 
 def item_count(col: Column, sep: str = ", ") -> Column:

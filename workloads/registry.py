@@ -29,12 +29,12 @@ from reviewlens.operators import clean, quality, sampling
 from reviewlens.operators import evaluate as ev
 from reviewlens.operators import ranking as rank
 from reviewlens.operators import reputation as rep
-from reviewlens.operators.features import text_features, user_features
+from reviewlens.operators.features import NUMERIC_FEATURES, text_features, user_features
 from reviewlens.operators.joins import tip_counts
 from reviewlens.operators.model import add_class_weights, term_statistics
 from reviewlens.operators.words import NOISE_WORDS, word_table, words_for_businesses
 from reviewlens.plans.eda import clean_businesses
-from reviewlens.sources import register_views
+from reviewlens.sources import from_rows, register_views
 from workloads import models as ml
 from workloads import standins as st
 
@@ -136,15 +136,16 @@ def _summary_sql(col: str, source: str) -> str:
     return f"""
         SELECT '{col}' AS "column", count({col}) AS count, round(avg({col}), 6) AS mean,
                round(stddev_samp({col}), 6) AS stddev, CAST(min({col}) AS VARCHAR) AS min,
-               CAST(max({col}) AS VARCHAR) AS max FROM ({source})"""
+               CAST(quantile_disc({col}, 0.25) AS VARCHAR) AS p25, CAST(quantile_disc({col}, 0.5) AS VARCHAR) AS p50,
+               CAST(quantile_disc({col}, 0.75) AS VARCHAR) AS p75, CAST(max({col}) AS VARCHAR) AS max
+        FROM ({source})"""
 
 
 @query("summary_stats", " UNION ALL ".join(
     _summary_sql(c, st.BUSINESSES) for c in ("stars", "review_count", "longitude")))
 def _(spark, sf):
-    stats = ("count", "mean", "stddev", "min", "max")
     cols = ["stars", "review_count", "longitude"]
-    return rounded(quality.summarize(st.businesses(spark, sf), cols, stats), "mean", "stddev")
+    return rounded(quality.summarize(st.businesses(spark, sf), cols), "mean", "stddev")
 
 
 @query("min_check", " UNION ALL ".join(
@@ -768,6 +769,40 @@ def _(spark, sf):
     return rounded(agg.histogram(st.table(spark, sf, "lineitem"), "l_extendedprice"), "bin_start", "mean")
 
 
+# ---------------------------------------------------------------- fitted pipeline
+
+_LABELLED = f"""
+    SELECT r.review_id, length(r.text) AS review_length,
+           length(r.text) - length(replace(r.text, '!', '')) AS num_exclamations,
+           length(regexp_replace(r.text, '[^A-Z]', '', 'g')) AS num_caps,
+           u.average_stars, u.review_count AS user_review_count, u.fans,
+           u.review_count + u.fans AS user_activity, u.useful + u.funny + u.cool AS user_engagement,
+           b.stars AS business_stars, b.review_count AS business_review_count, b.is_open,
+           coalesce(len(string_split(c.date, ', ')), 0) AS checkin_count, coalesce(ut.n, 0) AS user_tip_count,
+           year(r.date) AS year, month(r.date) AS month, b.categories
+    FROM ({st.TEXT_REVIEWS}) r LEFT JOIN ({st.BUSINESSES}) b USING (business_id)
+    LEFT JOIN ({st.USERS}) u USING (user_id) LEFT JOIN ({st.CHECKINS}) c USING (business_id)
+    LEFT JOIN (SELECT user_id, count(*) AS n FROM ({st.TIPS}) GROUP BY 1) ut USING (user_id)
+    WHERE r.stars IS NOT NULL"""
+
+
+@query("scalar_feature_scale", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(stddev_samp(coalesce({c}, 0)), 6) AS stddev FROM ({_LABELLED})"
+    for c in NUMERIC_FEATURES))
+def _(spark, sf):
+    fitted = ml.trained(spark, sf).pipeline.stages[-1].std.toArray()[-len(NUMERIC_FEATURES):]
+    rows = [(name, round(float(std), 6)) for name, std in zip(NUMERIC_FEATURES, fitted)]
+    return from_rows(spark, rows, "feature string, stddev double")
+
+
+@query("category_vocabulary", f"""
+    SELECT tag FROM (SELECT DISTINCT review_id, unnest(string_split(categories, ', ')) AS tag FROM ({_LABELLED}))
+    GROUP BY tag HAVING count(*) >= 3""")
+def _(spark, sf):
+    vocabulary = ml.trained(spark, sf).pipeline.stages[4].vocabulary
+    return from_rows(spark, [(tag,) for tag in vocabulary], "tag string")
+
+
 # ---------------------------------------------------------------- models (no SQL form)
 
 

@@ -251,7 +251,7 @@ TEXT_REVIEWS = """
     SELECT doc_id AS review_id, CAST(substr(source, 4, 10) AS BIGINT) AS business_id, doc_id AS user_id,
            CASE WHEN toxic = 1 THEN 1.0::DOUBLE WHEN quality = 1 THEN 5.0::DOUBLE
                 WHEN quality = 0 THEN 3.0::DOUBLE END AS stars,
-           text
+           text, DATE '2005-01-01' + CAST(doc_id % 6000 AS INTEGER) AS date
     FROM documents LEFT JOIN labels USING (doc_id)
 """
 
