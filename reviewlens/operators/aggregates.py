@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.functions import pct, sentiment_label
@@ -136,11 +136,20 @@ def avg_by_group(df: DataFrame, by: str = "main_category", measure: str = "stars
     return means.withColumn("overall_mean", overall).orderBy(F.desc(f"avg_{measure}"), by)
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson correlation over the rows that have both values; null where either is constant.
+
+    Spark's own `corr` fails on a constant column in ANSI mode.
+    """
+    x_used, y_used = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x_used) * F.stddev_pop(y_used))
+
+
 def correlation(df: DataFrame, x: str, y: str, out: str = "correlation") -> DataFrame:
     """Pearson correlation of two columns over the rows that have both, and how many rows those are."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     return df.agg(
-        F.corr(x, y).alias(out),
+        pearson(F.col(x), F.col(y)).alias(out),
         F.count_if(both).alias("n_used"),
         F.count_if(~both).alias("n_excluded"),
     )
@@ -158,7 +167,7 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
         F.struct(F.lit(i).alias("pair"), F.col(x).cast("double").alias("a"), F.col(y).cast("double").alias("b"))
         for i, (x, y) in enumerate(pairs)
     ]
-    by_pair = df.select(F.inline(F.array(*entries))).groupBy("pair").agg(F.corr("a", "b").alias("r"))
+    by_pair = df.select(F.inline(F.array(*entries))).groupBy("pair").agg(pearson(F.col("a"), F.col("b")).alias("r"))
     first, second = (F.array(*[F.lit(pair[side]) for pair in pairs]) for side in (0, 1))
     named = by_pair.select(
         F.get(first, F.col("pair")).alias("x"), F.get(second, F.col("pair")).alias("y"), "r"

@@ -81,6 +81,13 @@ def test_correlation_matrix_is_pairwise_complete(spark):
     assert one.n_used == frame["c"].notna().sum() and one.n_used + one.n_excluded == 200
 
 
+def test_correlation_with_a_constant_or_empty_column(spark):
+    df = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, 1.0)], "a double, b double, c double")
+    got = {(x.x, x.y): x.r for x in a.correlation_matrix(df, list("abc")).collect()}
+    assert got[("a", "b")] is None and got[("a", "c")] is None and got[("a", "a")] == pytest.approx(1.0)
+    assert a.correlation(df, "a", "b").first().correlation is None
+
+
 def test_histogram_matches_numpy(spark):
     values = np.random.default_rng(1).normal(size=500)
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
