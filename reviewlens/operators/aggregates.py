@@ -155,10 +155,12 @@ def correlation(df: DataFrame, x: str, y: str, out: str = "correlation") -> Data
     )
 
 
-def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+def correlation_matrix(
+    df: DataFrame, cols: list[str], fraction: float | None = None, seed: int = 42
+) -> DataFrame:
     """Pearson correlation of every pair of columns in long form (`x`, `y`, `r`), in one pass.
 
-    Each pair uses the rows that have both values. A row fans out into one (pair, x, y) entry per pair,
+    Each pair uses the rows that have both values, of the whole table unless a sample is asked for. A row fans out into one (pair, x, y) entry per pair,
     so that a single aggregate with a handful of buffers serves every pair: one aggregate per pair would
     outgrow code generation. Entries meet in the map-side aggregate; a task ships one row per pair.
     """
@@ -167,7 +169,8 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
         F.struct(F.lit(i).alias("pair"), F.col(x).cast("double").alias("a"), F.col(y).cast("double").alias("b"))
         for i, (x, y) in enumerate(pairs)
     ]
-    by_pair = df.select(F.inline(F.array(*entries))).groupBy("pair").agg(pearson(F.col("a"), F.col("b")).alias("r"))
+    rows = df if fraction is None else df.sample(fraction=fraction, seed=seed)
+    by_pair = rows.select(F.inline(F.array(*entries))).groupBy("pair").agg(pearson(F.col("a"), F.col("b")).alias("r"))
     first, second = (F.array(*[F.lit(pair[side]) for pair in pairs]) for side in (0, 1))
     named = by_pair.select(
         F.get(first, F.col("pair")).alias("x"), F.get(second, F.col("pair")).alias("y"), "r"

@@ -33,32 +33,39 @@ def _spread(df: DataFrame, key: str) -> list[Column]:
 
 def skew_join(
     fact: DataFrame,
-    dim: DataFrame,
+    dims: DataFrame | list[DataFrame],
     key: str,
     how: str = "left",
     hot: DataFrame | None = None,
     spread: list[str] | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join of a large table with a dimension in which a few keys hold much of the large table.
+    """Equi-join of a large table with one or more dimensions on a key of which a few values are very frequent.
 
     Rows of a hot key are spread over `salts` sub-keys and the dimension's rows of just those keys are
     repeated once per sub-key; null keys, which match nothing, are spread as well. The result equals the
-    plain join. The salt is a hash of the row itself (of `spread`, by default of every simple column), so
-    a task that runs again after a lost executor puts each row where it was before. `hot` may hand in
-    the hot keys found on a cheaper table than `fact`. `how` is `left` or `inner`.
+    plain joins. All dimensions of one call share the large table's partitioning, so it is shuffled once,
+    and not at all where Spark finds every dimension small enough to broadcast.
+
+    The salt is a hash of the row itself (of `spread`, by default of every simple column), so a task that
+    runs again after a lost executor puts each row where it was before. `hot` may hand in the hot keys
+    found on a cheaper table than `fact`. `how` is `left` or `inner`.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join repeats dimension rows, so only left and inner joins are exact")
     hot = F.broadcast((hot_keys(fact, key) if hot is None else hot).select(key, F.lit(True).alias("_hot")))
     by = [F.col(c) for c in spread] if spread else _spread(fact, key)
     salt = F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")
-    left = fact.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(F.lit(0))
+    joined = (
+        fact.join(hot, key, "left")
+        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(F.lit(0)))
+        .drop("_hot")
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.drop("_hot").join(right, [key, "_salt"], how).drop("_salt")
+    for dim in dims if isinstance(dims, list) else [dims]:
+        repeated = dim.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+        joined = joined.join(repeated, [key, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def checkin_counts(checkin: DataFrame) -> DataFrame:
@@ -81,23 +88,20 @@ def build_wide(
 ) -> DataFrame:
     """Review-grain wide table: every review with its business, its user, check-ins and tip counts.
 
-    The three business-keyed tables meet first, as do the two user-keyed ones, so that the reviews are
-    shuffled twice instead of five times. Those first joins are full outer, because a check-in or a tip
-    may name a business that the business table lacks. `spread` names review columns that tell apart
-    reviews of one business (`review_id` if unique).
+    Tips are counted before the join, so they do not multiply reviews. The three business-keyed tables
+    are joined in one go and the two user-keyed ones in another, so that the reviews are shuffled at most
+    twice. `spread` names review columns that tell apart reviews of one business (`review_id` if unique).
     """
     clash = ["review_count", "name", "stars", "useful", "funny", "cool"]
-    about_business = (
-        prefix_columns(business, clash, "business_")
-        .join(checkin_counts(checkin), "business_id", "full")
-        .join(tip_counts(tip, "business_id", "business_tip_count"), "business_id", "full")
-    )
-    about_user = prefix_columns(user, clash, "user_").join(
-        tip_counts(tip, "user_id", "user_tip_count"), "user_id", "full"
-    )
+    of_business = [
+        prefix_columns(business, clash, "business_"),
+        checkin_counts(checkin),
+        tip_counts(tip, "business_id", "business_tip_count"),
+    ]
+    of_user = [prefix_columns(user, clash, "user_"), tip_counts(tip, "user_id", "user_tip_count")]
     by_business, by_user = hot_keys(review, "business_id"), hot_keys(review, "user_id")
-    wide = skew_join(review, about_business, "business_id", hot=by_business, spread=spread)
-    return skew_join(wide, about_user, "user_id", hot=by_user, spread=spread)
+    wide = skew_join(review, of_business, "business_id", hot=by_business, spread=spread)
+    return skew_join(wide, of_user, "user_id", hot=by_user, spread=spread)
 
 
 def restrict_to_keys(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import pct
 from reviewlens.operators.aggregates import correlation
+from reviewlens.operators.sampling import sample_fraction
 
 _MEASURES = ("sentiment_score", "pos_prob", "neg_prob", "label")
 
@@ -59,6 +60,15 @@ def score_star_corr(reputation: DataFrame) -> DataFrame:
     return correlation(reputation, "avg_sentiment_score", "avg_stars")
 
 
+def reputation_sample(
+    reputation: DataFrame, volume: tuple[int, int] = (20, 500), fraction: float = 0.05, seed: int = 42
+) -> DataFrame:
+    """A random sample of the scored businesses within a range of review volume, for a scatter plot."""
+    scored = reputation.filter(F.col("avg_sentiment_score").isNotNull())
+    within = scored.filter(F.col("total_reviews").between(*volume))
+    return sample_fraction(within, fraction, seed, ["business_id"])
+
+
 def rank_reputation(
     reputation: DataFrame, min_reviews: int = 100, k: int = 10, best: bool = True
 ) -> DataFrame:

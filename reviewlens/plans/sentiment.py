@@ -126,6 +126,7 @@ def reputation_tables(
     return {
         "reputation": reputation,
         "score_star_corr": rep.score_star_corr(reputation),
+        "score_sample": rep.reputation_sample(reputation),
         "score_histogram": histogram(valid, "avg_sentiment_score"),
         "best": rep.rank_reputation(reputation, min_ranked, k, best=True),
         "worst": rep.rank_reputation(reputation, min_ranked, k, best=False),

@@ -692,16 +692,17 @@ def reputation(spark: SparkSession, sf: str) -> DataFrame:
     return rep.business_reputation(st.scored_reviews(spark, sf), MIN_BUSINESS)
 
 
-_REP_COLS = ("business_id, total_reviews, round(avg_sentiment_score, 6) AS avg_sentiment_score, "
-             "round(avg_pos_prob, 6) AS avg_pos_prob, round(avg_neg_prob, 6) AS avg_neg_prob, "
-             "round(avg_label, 6) AS avg_label, n_positive, n_negative, avg_stars, is_open, state, "
+# Ten digits: the mean of some dozen two-decimal scores can lie exactly between two six-digit numbers.
+_REP_COLS = ("business_id, total_reviews, round(avg_sentiment_score, 10) AS avg_sentiment_score, "
+             "round(avg_pos_prob, 10) AS avg_pos_prob, round(avg_neg_prob, 10) AS avg_neg_prob, "
+             "round(avg_label, 10) AS avg_label, n_positive, n_negative, avg_stars, is_open, state, "
              "positive_pct, negative_pct, array_to_string(categories, ', ') AS categories")
 
 
 @query("business_reputation", f"SELECT {_REP_COLS} FROM ({_REPUTATION})")
 def _(spark, sf):
     result = reputation(spark, sf).withColumn("categories", F.array_join("categories", ", "))
-    return rounded(result, "avg_sentiment_score", "avg_pos_prob", "avg_neg_prob", "avg_label")
+    return rounded(result, "avg_sentiment_score", "avg_pos_prob", "avg_neg_prob", "avg_label", digits=10)
 
 
 @query("score_star_corr", f"""
@@ -713,16 +714,26 @@ def _(spark, sf):
     return rounded(rep.score_star_corr(reputation(spark, sf)), "correlation")
 
 
+@query("reputation_sample", f"""
+    SELECT business_id, round(avg_sentiment_score, 10) AS avg_sentiment_score, avg_stars
+    FROM ({_REPUTATION})
+    WHERE avg_sentiment_score IS NOT NULL AND total_reviews BETWEEN 20 AND 500
+      AND {_uniform('sample', 42, 'business_id')} < 0.05::DOUBLE""")
+def _(spark, sf):
+    sample = rep.reputation_sample(reputation(spark, sf))
+    return rounded(sample.select("business_id", "avg_sentiment_score", "avg_stars"), "avg_sentiment_score", digits=10)
+
+
 for _name, _share, _dir in (("reputation_top", "positive_pct", "DESC"), ("reputation_bottom", "negative_pct", "ASC")):
     @query(_name, f"""
         SELECT business_id, array_to_string(categories, ', ') AS categories, total_reviews,
-               round(avg_sentiment_score, 6) AS avg_sentiment_score, {_share}, avg_stars
+               round(avg_sentiment_score, 10) AS avg_sentiment_score, {_share}, avg_stars
         FROM ({_REPUTATION}) WHERE avg_sentiment_score IS NOT NULL AND total_reviews >= {MIN_RANKED}
         ORDER BY round(avg_sentiment_score, 9) {_dir}, business_id LIMIT 10""")
     def _(spark, sf, best=_dir == "DESC"):
         ranked = rep.rank_reputation(reputation(spark, sf), MIN_RANKED, best=best)
         ranked = ranked.withColumn("categories", F.array_join("categories", ", "))
-        return rounded(ranked, "avg_sentiment_score")
+        return rounded(ranked, "avg_sentiment_score", digits=10)
 
 
 @query("sentiment_by_year", f"""
@@ -785,6 +796,26 @@ _LABELLED = f"""
     LEFT JOIN (SELECT user_id, count(*) AS n FROM ({st.TIPS}) GROUP BY 1) ut USING (user_id)
     WHERE r.stars IS NOT NULL"""
 
+_TEXTS = _LABELLED.replace("WHERE r.stars IS NOT NULL", "").replace("SELECT r.review_id,", """
+    SELECT r.stars, u.useful AS user_useful, u.funny AS user_funny, u.cool AS user_cool,
+           CASE WHEN r.stars <= 2 THEN 0 WHEN r.stars = 3 THEN 1 ELSE 2 END AS label,""")
+
+
+def _correlations(cols: tuple[str, ...]) -> str:
+    cells = ", ".join(f"{{'x': '{x}', 'y': '{y}', 'r': corr({x}, {y})}}" for x in cols for y in cols)
+    return f"SELECT c.x, c.y, round(c.r, 6) + 0.0 AS r FROM (SELECT unnest([{cells}]) AS c FROM ({_TEXTS}))"
+
+
+for _name, _cols in (
+    ("review_correlations", ("stars", "user_useful", "user_funny", "user_cool", "review_length",
+                             "user_review_count", "fans")),
+    ("feature_correlations", ("label", *NUMERIC_FEATURES)),
+):
+    @query(_name, _correlations(_cols))
+    def _(spark, sf, cols=_cols):
+        matrix = agg.correlation_matrix(ml.text_wide(spark, sf), list(cols))
+        return matrix.withColumn("r", F.round("r", 6) + F.lit(0.0))
+
 
 @query("scalar_feature_scale", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(stddev_samp(coalesce({c}, 0)), 6) AS stddev FROM ({_LABELLED})"
