@@ -16,4 +16,4 @@ def split_list(col: Column, sep: str = ", ", trim: bool = False) -> Column:
 
 def item_count(col: Column, sep: str = ", ") -> Column:
     """How many items a delimited string holds; the empty string counts as one, null stays null."""
-    return F.size(F.split(col, re.escape(sep)))
+    return F.array_size(F.split(col, re.escape(sep)))

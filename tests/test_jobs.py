@@ -1,0 +1,71 @@
+"""Both jobs from JSON lines to their report folders."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+from reviewlens import jobs
+from reviewlens.operators.model import ModelConfig
+from reviewlens.plans.sentiment import TrainingConfig
+from reviewlens.sources import load_models, read_counts, read_features
+
+WORDS = {1.0: "awful rude cold dirty", 3.0: "average okay ordinary", 5.0: "great loved amazing friendly"}
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory) -> Path:
+    """A third of the reviews on one business and one user, as JSON lines."""
+    out = tmp_path_factory.mktemp("in")
+    rng = np.random.default_rng(11)
+
+    def write(name, rows):
+        (out / f"{name}.json").write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+
+    stars = [float(rng.choice([1.0, 3.0, 5.0], p=[0.3, 0.2, 0.5])) for _ in range(500)]
+    write("review", [dict(
+        review_id=f"r{i}", business_id="b0" if i % 3 == 0 else f"b{i % 9}", user_id="u0" if i % 3 == 1 else f"u{i % 40}",
+        stars=s, useful=-1 if i % 10 == 0 else 1, funny=0, cool=0, text=" ".join(rng.choice(WORDS[s].split(), 5)) + "!",
+        date=f"20{10 + i % 10}-0{1 + i % 9}-11 1{i % 10}:00:00") for i, s in enumerate(stars)])
+    write("business", [dict(
+        business_id=f"b{i}", name=f"n{i}", address="", city=f"c{i % 3}", state="FL" if i % 2 else "NV", postal_code="1",
+        latitude=i / 2, longitude=-i / 2, stars=1.0 + i % 5, review_count=10 * i, is_open=i % 2,
+        categories="Restaurants, Bars" if i % 2 else "Home Services") for i in range(8)])
+    write("user", [dict(user_id=f"u{i}", name=f"x{i}", review_count=i, average_stars=3.0, fans=i, useful=1, funny=1,
+                        cool=1, friends="None", elite="", since="2015-01-01 00:00:00") for i in range(38)])
+    write("checkin", [dict(business_id=f"b{i}", date="2020-01-01 00:00:00, 2020-01-02 00:00:00") for i in range(5)])
+    write("tip", [dict(business_id=f"b{i % 4}", user_id=f"u{i}", text="t", date="2020-01-01 00:00:00", compliment_count=0)
+                  for i in range(20)])
+    return out
+
+
+def test_eda_job(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.eda_job(jobs.read_inputs(spark, str(folder), "json", "since"), out, "since", min_total=10)
+    assert len(list((tmp_path / "out" / "reports").iterdir())) == 24
+    tags = read_counts(spark, f"{out}/reports/tag_counts", "category_word string, count bigint")
+    assert {tuple(r) for r in tags.collect()} == {("Restaurants", 4), ("Bars", 4), ("Home Services", 4)}
+    reviews = read_features(spark, f"{out}/clean/review")
+    assert reviews.filter("useful < 0").isEmpty() and reviews.count() == 500
+
+
+def test_sentiment_job(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    cfg = TrainingConfig(sample=None, mlp_sample=None, models=ModelConfig(
+        vocab_size=30, min_doc_freq=1, lr_iterations=10, rf_trees=3, rf_depth=3, mlp_hidden=3, mlp_iterations=5))
+    jobs.sentiment_job(jobs.read_inputs(spark, str(folder), "json", "since"), out, "since", cfg, str(tmp_path / "cp"),
+                       min_reviews=5, min_ranked=5, min_year=5, min_state=5)
+    scored = read_features(spark, f"{out}/scored")
+    assert scored.count() == 500 and scored.filter("sentiment_score IS NULL").isEmpty()
+    assert read_features(spark, f"{out}/reports/model_comparison").count() == 3
+    reputation = read_features(spark, f"{out}/reports/reputation")
+    assert {r.business_id for r in reputation.collect()} == {"b0", "b1", "b2", "b4", "b5", "b7", "b8"}
+    hot = reputation.filter("business_id = 'b0'").first()
+    assert hot.total_reviews >= 167
+    assert set(load_models(f"{out}/models")) == {"features", "lr", "rf", "mlp"}
+    # the score knows good from bad
+    by_stars = {r.stars: r.s for r in scored.groupBy("stars").agg({"sentiment_score": "avg"}).toDF("stars", "s").collect()}
+    assert by_stars[1.0] < by_stars[3.0] < by_stars[5.0]
