@@ -20,18 +20,23 @@ def star_label(stars: Column) -> Column:
     return F.concat(stars.cast("int").cast("string"), F.lit("★"))
 
 
+def _fixed(num: Column, digits: int) -> Column:
+    """A number with fixed decimals and no grouping; an exact half goes to the even digit."""
+    return F.replace(F.format_number(num, digits), F.lit(","), F.lit(""))
+
+
 def human_format(num: Column) -> Column:
-    """Short form of a count: `3.4M`, `1.2K`, `950`; halves round up."""
+    """Short form of a count: `3.4M`, `1.2K`, `950`."""
     size = F.abs(num)
     return (
-        F.when(size >= 1_000_000, F.format_string("%.1fM", num / F.lit(1_000_000.0)))
-        .when(size >= 1_000, F.format_string("%.1fK", num / F.lit(1_000.0)))
+        F.when(size >= 1_000_000, F.concat(_fixed(num / F.lit(1_000_000.0), 1), F.lit("M")))
+        .when(size >= 1_000, F.concat(_fixed(num / F.lit(1_000.0), 1), F.lit("K")))
         .otherwise(num.cast("bigint").cast("string"))
     )
 
 
 def axis_format(num: Column) -> Column:
     """Bar label: millions with one decimal (`3.4M`), everything else in whole thousands (`12k`)."""
-    return F.when(num >= 1_000_000, F.format_string("%.1fM", num / F.lit(1_000_000.0))).otherwise(
-        F.format_string("%.0fk", num / F.lit(1_000.0))
-    )
+    return F.when(
+        num >= 1_000_000, F.concat(_fixed(num / F.lit(1_000_000.0), 1), F.lit("M"))
+    ).otherwise(F.concat(_fixed(num / F.lit(1_000.0), 0), F.lit("k")))

@@ -31,7 +31,9 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def eda_job(tables: dict[str, DataFrame], out: str, since_field: str | None = None, **options) -> None:
-    """Every report table of the exploratory analysis under `out/reports`, cleaned tables under `out/clean`."""
+    """Profiles of the raw tables, cleaned tables and every report table under `out`."""
+    for name, table in eda.profile_tables(tables).items():
+        write_features(table, f"{out}/profile/{name}")
     reviews = stored(eda.clean_reviews(tables["review"]), f"{out}/clean/review")
     businesses = stored(eda.clean_businesses(tables["business"]), f"{out}/clean/business")
     users = stored(eda.clean_users(tables["user"], since_field), f"{out}/clean/user")
@@ -56,11 +58,15 @@ def sentiment_job(
     wide = sentiment.prepare_wide(*(tables[t] for t in order), since_field=since_field, spread=cfg.key)
     wide = stored(wide, f"{out}/wide")
     train, test = sentiment.training_sets(wide, cfg)
-    models, _, comparison = sentiment.train_models(train, test, cfg, checkpoint_dir)
+    models, predictions, comparison = sentiment.train_models(train, test, cfg, checkpoint_dir)
     save_models(models, f"{out}/models")
-    write_features(comparison, f"{out}/reports/model_comparison")
     scored = stored(sentiment.score_all(models, wide), f"{out}/scored")
-    for name, table in sentiment.reputation_tables(scored, **limits).items():
+    reports = {
+        **sentiment.wide_reports(wide),
+        **sentiment.model_reports(models, predictions, comparison),
+        **sentiment.reputation_tables(scored, **limits),
+    }
+    for name, table in reports.items():
         write_features(table, f"{out}/reports/{name}")
 
 

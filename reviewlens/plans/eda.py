@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import assign_category, date_parts, open_status, parse_ts, text_length
 from reviewlens.operators import aggregates as agg
+from reviewlens.operators import quality
 from reviewlens.operators import ranking as rank
 from reviewlens.operators.clean import (
     drop_cols,
@@ -49,6 +50,24 @@ def clean_tips(tip: DataFrame) -> DataFrame:
     return parse_ts(tip, "date")
 
 
+def profile_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Row counts, missing values and summaries of every table, and the checks of the reviews, by name."""
+    review = tables["review"]
+    profile = {
+        "row_counts": quality.row_counts(tables),
+        "duplicate_reviews": quality.duplicate_keys(review, ["review_id"]),
+        "blank_texts": quality.blank_rows(review, "text"),
+        "distinct_votes": quality.distinct_count(review, VOTES),
+        "lowest_votes": quality.summarize(review, VOTES, ("min",)),
+    }
+    for vote in VOTES:
+        profile[f"counts_of_{vote}"] = quality.value_counts(review, vote)
+    for name, df in tables.items():
+        profile[f"missing_{name}"] = quality.missing_counts(df, empty=True)
+        profile[f"summary_{name}"] = quality.summarize(df)
+    return profile
+
+
 def eda_tables(
     reviews: DataFrame,
     businesses: DataFrame,
@@ -64,6 +83,7 @@ def eda_tables(
     status = businesses.withColumn("business_status", open_status(F.col("is_open")))
     stars = agg.group_count(reviews, ["stars"])
     food = focus[0]
+    since = [c for c in users.columns if c not in USER_COLUMNS]
     tables = {
         "business_density": agg.grid_density(businesses),
         "top_cities": rank.top_groups(businesses, "city", k),
@@ -87,7 +107,7 @@ def eda_tables(
         "reviews_by_year": agg.group_count(dated, ["year"], "review_count").orderBy("year"),
         "reviews_by_month": agg.group_count(dated, ["month"]).orderBy("month"),
         "reviews_by_hour": agg.group_count(dated, ["hour"]).orderBy("hour"),
-        "top_users": rank.top_users(users, k),
+        "top_users": rank.top_users(users, k, ("name", "review_count", *since)),
         "avg_stars_by_category": agg.avg_by_group(businesses),
     }
     for category in focus:

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions import parse_ts, split_list
+from reviewlens.operators import evaluate as ev
 from reviewlens.operators import reputation as rep
+from reviewlens.operators.aggregates import correlation_matrix, group_count, histogram, share_of_total
 from reviewlens.operators.clean import impute_concat, replace_sentinel
-from reviewlens.operators.evaluate import compare_models
-from reviewlens.operators.features import feature_table, model_columns
+from reviewlens.operators.features import NUMERIC_FEATURES, feature_table, model_columns
 from reviewlens.operators.joins import build_wide
 from reviewlens.operators.model import (
     ModelConfig,
@@ -26,7 +27,7 @@ from reviewlens.operators.model import (
     train_rf,
     vector_size,
 )
-from reviewlens.operators.aggregates import histogram
+from reviewlens.operators.quality import valid_rate
 from reviewlens.operators.sampling import balance_classes, sample_fraction, split
 from reviewlens.plans.eda import VOTES
 from reviewlens.sources import cut_lineage, training_rows
@@ -103,7 +104,37 @@ def train_models(
         "Random Forest": score(models["rf"], test_x),
         "MLP": score(models["mlp"], part(test_x)),
     }
-    return models, predictions, compare_models(predictions)
+    return models, predictions, ev.compare_models(predictions)
+
+
+def model_reports(
+    models: dict, predictions: dict[str, DataFrame], comparison: DataFrame
+) -> dict[str, DataFrame]:
+    """Comparison, recall and confusion matrix per model, important features and sentiment drivers, by name."""
+    spark, pipeline, lr = comparison.sparkSession, models["features"], models["lr"]
+    reports = {
+        "model_comparison": comparison,
+        "lr_importance": ev.lr_importance(spark, pipeline, lr),
+        "rf_importance": ev.rf_importance(spark, pipeline, models["rf"]),
+        "negative_drivers": ev.class_drivers(spark, pipeline, lr, 0),
+        "positive_drivers": ev.class_drivers(spark, pipeline, lr, 2),
+    }
+    for name, preds in predictions.items():
+        folder = name.lower().replace(" ", "_")
+        reports[f"recall_{folder}"] = ev.per_class_recall(preds)
+        reports[f"confusion_{folder}"] = ev.confusion_matrix(preds)
+    return reports
+
+
+def wide_reports(wide: DataFrame) -> dict[str, DataFrame]:
+    """Class distribution and the two correlation matrices of the wide table, by name."""
+    votes = ["user_useful", "user_funny", "user_cool"]
+    of_review = ["stars", *votes, "review_length", "user_review_count", "fans"]
+    return {
+        "label_distribution": share_of_total(group_count(wide, ["label"]), digits=2).orderBy("label"),
+        "review_correlations": correlation_matrix(wide, of_review),
+        "feature_correlations": correlation_matrix(wide, ["label", *NUMERIC_FEATURES]),
+    }
 
 
 def score_all(models: dict, wide: DataFrame) -> DataFrame:
@@ -124,6 +155,7 @@ def reputation_tables(
     reputation = rep.business_reputation(scored, min_reviews)
     valid = reputation.filter(F.col("avg_sentiment_score").isNotNull())
     return {
+        "valid_rate": valid_rate(scored, "sentiment_score"),
         "reputation": reputation,
         "score_star_corr": rep.score_star_corr(reputation),
         "score_sample": rep.reputation_sample(reputation),

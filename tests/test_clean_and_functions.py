@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from reviewlens import functions as fn
-from reviewlens.functions.numbers import axis_format
 from reviewlens.operators import clean as c
 from reviewlens.operators import quality as q
 from reviewlens.operators.features import text_features, user_features
@@ -107,7 +108,7 @@ def test_numbers(spark):
     assert column(spark, 1_200, fn.human_format, "bigint") == "1.2K"
     assert column(spark, -1_500, fn.human_format, "bigint") == "-1.5K"
     assert column(spark, 950, fn.human_format, "bigint") == "950"
-    assert column(spark, 12_345, axis_format, "bigint") == "12k"
+    assert column(spark, 12_345, fn.axis_format, "bigint") == "12k"
     assert column(spark, 4.0, fn.star_label, "double") == "4★"
     assert column(spark, float("nan"), fn.nan_to_null, "double") is None
     assert column(spark, 1, lambda v: fn.pct(v, F.lit(3)), "int") == 33.3
@@ -115,6 +116,21 @@ def test_numbers(spark):
     assert column(spark, 0, fn.open_status, "int") == "Closed"
 
 
+def test_number_labels_round_like_python(spark):
+    values = [0, 999, 1_050, 1_150, 1_250, 1_350, 1_750, 2_500, 3_500, 999_949, 999_950, 999_999, 1_000_000,
+              1_050_000, 1_250_000, 1_350_000, 12_345_678_901, *range(1_000, 40_000, 50)]
+
+    def short(n):
+        return f"{n / 1e6:.1f}M" if n >= 1e6 else f"{n / 1e3:.1f}K" if n >= 1e3 else str(n)
+
+    def axis(n):
+        return f"{n / 1e6:.1f}M" if n >= 1e6 else f"{n / 1e3:.0f}k"
+
+    df = spark.createDataFrame([(n,) for n in values], "n bigint")
+    for n, a, b in df.select("n", fn.human_format(F.col("n")), fn.axis_format(F.col("n"))).collect():
+        assert (a, b) == (short(n), axis(n))
+
+
 def test_user_features_null_propagates(spark):
     df = spark.createDataFrame([(1, 2, 3, 4, 5), (1, 2, None, 4, 5)],
                                "user_review_count int, fans int, user_useful int, user_funny int, user_cool int")
@@ -142,6 +158,23 @@ def test_last_matching_rule_wins(spark, tags, group):
     assert fn.assign_category(df).first().main_category == group
 
 
+def test_category_against_a_plain_loop(spark):
+    """Random tag strings: go through the rules in order and let each match overwrite the last."""
+    rng = random.Random(5)
+    rules = fn.rules_of(fn.TAXONOMY)
+    tags = [t for t, _ in rules] + ["Thai", "Food Banks", "Chinese Martial Arts", "hotels", "Art Galleries"]
+    texts = [", ".join(rng.sample(tags, rng.randint(1, 5))) for _ in range(500)]
+
+    def loop(text):
+        group = "Other"
+        for tag, main in rules:
+            group = main if tag in text else group
+        return group
+
+    out = fn.assign_category(spark.createDataFrame([(t,) for t in texts], "categories string")).collect()
+    assert [r.main_category for r in out] == [loop(t) for t in texts]
+
+
 def test_custom_rules_overlap(spark):
     df = spark.createDataFrame([("ab",)], "categories string")
     pick = lambda rules: fn.assign_category(df, rules=rules).first().main_category

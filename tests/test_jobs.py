@@ -46,6 +46,8 @@ def test_eda_job(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     jobs.eda_job(jobs.read_inputs(spark, str(folder), "json", "since"), out, "since", min_total=10)
     assert len(list((tmp_path / "out" / "reports").iterdir())) == 24
+    assert len(list((tmp_path / "out" / "profile").iterdir())) == 18
+    assert read_features(spark, f"{out}/profile/duplicate_reviews").first().duplicates == 0
     tags = read_counts(spark, f"{out}/reports/tag_counts", "category_word string, count bigint")
     assert {tuple(r) for r in tags.collect()} == {("Restaurants", 4), ("Bars", 4), ("Home Services", 4)}
     reviews = read_features(spark, f"{out}/clean/review")
@@ -61,6 +63,9 @@ def test_sentiment_job(spark, folder, tmp_path):
     scored = read_features(spark, f"{out}/scored")
     assert scored.count() == 500 and scored.filter("sentiment_score IS NULL").isEmpty()
     assert read_features(spark, f"{out}/reports/model_comparison").count() == 3
+    confusion = read_features(spark, f"{out}/reports/confusion_random_forest")
+    assert confusion.count() == 9
+    assert read_features(spark, f"{out}/reports/feature_correlations").count() == 16 * 16
     reputation = read_features(spark, f"{out}/reports/reputation")
     assert {r.business_id for r in reputation.collect()} == {"b0", "b1", "b2", "b4", "b5", "b7", "b8"}
     hot = reputation.filter("business_id = 'b0'").first()

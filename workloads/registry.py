@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import (
     assign_category,
+    axis_format,
     date_parts,
     human_format,
     item_count,
@@ -277,14 +278,16 @@ def _(spark, sf):
 
 
 @query("human_format", """
-    SELECT o_orderkey, CASE
-             WHEN n >= 1000000 THEN printf('%d.%dM', (n + 50000) // 100000 // 10, (n + 50000) // 100000 % 10)
-             WHEN n >= 1000 THEN printf('%d.%dK', (n + 50) // 100 // 10, (n + 50) // 100 % 10)
-             ELSE CAST(n AS VARCHAR) END AS label
+    SELECT o_orderkey, CASE WHEN n >= 1000000 THEN format('{:.1f}M', n / 1000000.0::DOUBLE)
+                            WHEN n >= 1000 THEN format('{:.1f}K', n / 1000.0::DOUBLE)
+                            ELSE CAST(n AS VARCHAR) END AS label,
+           CASE WHEN n >= 1000000 THEN format('{:.1f}M', n / 1000000.0::DOUBLE)
+                ELSE format('{:.0f}k', n / 1000.0::DOUBLE) END AS axis_label
     FROM (SELECT o_orderkey, CAST(floor(o_totalprice * 10) AS BIGINT) AS n FROM orders)""")
 def _(spark, sf):
     n = F.floor(F.col("o_totalprice") * 10)
-    return st.table(spark, sf, "orders").select("o_orderkey", human_format(n).alias("label"))
+    return st.table(spark, sf, "orders").select(
+        "o_orderkey", human_format(n).alias("label"), axis_format(n).alias("axis_label"))
 
 
 # ---------------------------------------------------------------- categories
