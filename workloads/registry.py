@@ -789,9 +789,10 @@ _LABELLED = f"""
     SELECT r.review_id, length(r.text) AS review_length,
            length(r.text) - length(replace(r.text, '!', '')) AS num_exclamations,
            length(regexp_replace(r.text, '[^A-Z]', '', 'g')) AS num_caps,
-           u.average_stars, u.review_count AS user_review_count, u.fans,
-           u.review_count + u.fans AS user_activity, u.useful + u.funny + u.cool AS user_engagement,
-           b.stars AS business_stars, b.review_count AS business_review_count, b.is_open,
+           coalesce(u.average_stars, 0) AS average_stars, coalesce(u.review_count, 0) AS user_review_count,
+           coalesce(u.fans, 0) AS fans, coalesce(u.review_count, 0) + coalesce(u.fans, 0) AS user_activity,
+           u.useful + u.funny + u.cool AS user_engagement, coalesce(b.stars, 0) AS business_stars,
+           coalesce(b.review_count, 0) AS business_review_count, coalesce(b.is_open, 0) AS is_open,
            coalesce(len(string_split(c.date, ', ')), 0) AS checkin_count, coalesce(ut.n, 0) AS user_tip_count,
            year(r.date) AS year, month(r.date) AS month, b.categories
     FROM ({st.TEXT_REVIEWS}) r LEFT JOIN ({st.BUSINESSES}) b USING (business_id)
@@ -806,7 +807,8 @@ _TEXTS = _LABELLED.replace("WHERE r.stars IS NOT NULL", "").replace("SELECT r.re
 
 def _correlations(cols: tuple[str, ...]) -> str:
     cells = ", ".join(f"{{'x': '{x}', 'y': '{y}', 'r': corr({x}, {y})}}" for x in cols for y in cols)
-    return f"SELECT c.x, c.y, round(c.r, 6) + 0.0 AS r FROM (SELECT unnest([{cells}]) AS c FROM ({_TEXTS}))"
+    value = "CASE WHEN NOT isnan(c.r) THEN round(c.r, 6) + 0.0 END"  # a constant column has no correlation
+    return f"SELECT c.x, c.y, {value} AS r FROM (SELECT unnest([{cells}]) AS c FROM ({_TEXTS}))"
 
 
 for _name, _cols in (
