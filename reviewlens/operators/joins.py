@@ -15,15 +15,22 @@ from pyspark.sql import types as T
 from reviewlens.functions import item_count
 from reviewlens.operators.clean import prefix_columns
 
-HOT_SHARE = 64
-SALTS = 32
+def default_pieces(spark: SparkSession) -> int:
+    """How finely a skewed table is cut: four pieces per shuffle partition."""
+    setting = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    return 4 * (int(setting) if setting.isdigit() else 200)
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than 1/`share` of the rows. There are fewer than `share` of them."""
+def hot_keys(df: DataFrame, key: str, pieces: int | None = None) -> DataFrame:
+    """Keys that hold more than 1/`pieces` of the rows, with the number of such pieces each one fills.
+
+    By counting there are fewer than `pieces` hot keys, and their pieces add up to less than twice
+    `pieces`; both bounds hold whatever the data.
+    """
+    pieces = pieces or default_pieces(df.sparkSession)
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") * F.lit(share) > total).select(key)
+    filled = F.col("_n") * F.lit(pieces) / counts.agg(F.sum("_n")).scalar()
+    return counts.filter(filled > 1).select(key, F.ceil(filled).cast("int").alias("_pieces"))
 
 
 def _spread(df: DataFrame, key: str) -> list[Column]:
@@ -38,34 +45,33 @@ def skew_join(
     how: str = "left",
     hot: DataFrame | None = None,
     spread: list[str] | None = None,
-    salts: int = SALTS,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """Equi-join of a large table with one or more dimensions on a key of which a few values are very frequent.
+    """Equi-join of a large table with one or more dimensions on a key of which some values are very frequent.
 
-    Rows of a hot key are spread over `salts` sub-keys and the dimension's rows of just those keys are
-    repeated once per sub-key; null keys, which match nothing, are spread as well. The result equals the
-    plain joins. All dimensions of one call share the large table's partitioning, so it is shuffled once,
-    and not at all where Spark finds every dimension small enough to broadcast.
+    Rows of a hot key are spread over as many sub-keys as the key fills pieces, and the dimension's rows of
+    just those keys are repeated once per sub-key; null keys, which match nothing, are spread as well. So no
+    sub-key is larger than about a piece, and the repeats stay below twice the number of pieces. The result
+    equals the plain joins. All dimensions of one call share the large table's partitioning, so it is
+    shuffled once, and not at all where Spark finds every dimension small enough to broadcast.
 
-    The salt is a hash of the row itself (of `spread`, by default of every simple column), so a task that
-    runs again after a lost executor puts each row where it was before. `hot` may hand in the hot keys
-    found on a cheaper table than `fact`. `how` is `left` or `inner`.
+    The sub-key is a hash of the row itself (of `spread`, by default of every simple column), so a task that
+    runs again after a lost executor puts each row where it was before. `hot` may hand in the hot keys found
+    on a cheaper table than `fact`. `how` is `left` or `inner`.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join repeats dimension rows, so only left and inner joins are exact")
-    hot = F.broadcast((hot_keys(fact, key) if hot is None else hot).select(key, F.lit(True).alias("_hot")))
+    pieces = pieces or default_pieces(fact.sparkSession)
+    hot = F.broadcast(hot_keys(fact, key, pieces) if hot is None else hot)
     by = [F.col(c) for c in spread] if spread else _spread(fact, key)
-    salt = F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")
-    joined = (
-        fact.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    width = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.col("_pieces"))
+    piece = F.when(width.isNotNull(), F.pmod(F.xxhash64(*by), width).cast("int")).otherwise(F.lit(0))
+    joined = fact.join(hot, key, "left").withColumn("_piece", piece).drop("_pieces")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
     for dim in dims if isinstance(dims, list) else [dims]:
-        repeated = dim.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-        joined = joined.join(repeated, [key, "_salt"], how)
-    return joined.drop("_salt")
+        repeated = dim.join(hot, key, "left").withColumn("_piece", F.explode(copies)).drop("_pieces")
+        joined = joined.join(repeated, [key, "_piece"], how)
+    return joined.drop("_piece")
 
 
 def checkin_counts(checkin: DataFrame) -> DataFrame:

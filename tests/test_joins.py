@@ -41,21 +41,36 @@ def test_skew_join_refuses_inexact_kinds(skewed):
         j.skew_join(*skewed, "key", "full")
 
 
-def test_hot_keys_are_few_and_right(skewed):
-    fact, _ = skewed
-    assert [r.key for r in j.hot_keys(fact, "key", 4).collect()] == ["hot"]
-    assert j.hot_keys(fact.limit(0), "key").count() == 0
-    assert j.hot_keys(fact, "key", 1).count() == 0
+def test_hot_keys_and_their_pieces(skewed):
+    fact, _ = skewed  # 1,000 of the 2,960 rows with a key belong to "hot"
+    assert [tuple(r) for r in j.hot_keys(fact, "key", 8).collect()] == [("hot", 3)]
+    assert [tuple(r) for r in j.hot_keys(fact, "key", 64).collect()] == [("hot", 22)]
+    assert j.hot_keys(fact.limit(0), "key").isEmpty()
+    assert j.hot_keys(fact, "key", 1).isEmpty()
 
 
-def test_hot_rows_spread_over_salts(skewed, spark):
+@pytest.mark.parametrize("pieces", [2, 50, 1000])
+def test_pieces_stay_bounded(skewed, pieces):
+    found = j.hot_keys(skewed[0], "key", pieces).collect()
+    assert len(found) < pieces and sum(r._pieces for r in found) < 2 * pieces
+
+
+@pytest.mark.parametrize("pieces", [1, 5, 3000])
+def test_any_number_of_pieces_gives_the_same_join(skewed, pieces):
+    fact, dim = skewed
+    got, want = j.skew_join(fact, dim, "key", pieces=pieces), fact.join(dim, "key", "left")
+    want = want.select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_hot_rows_spread_over_partitions(skewed, spark):
     """With broadcasts off, no shuffle partition receives the hot key's rows whole."""
     fact, dim = skewed
     old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = j.skew_join(fact, dim, "key", salts=32).filter("key = 'hot'")
+        joined = j.skew_join(fact, [dim, dim.withColumnRenamed("v", "w")], "key", pieces=96).filter("key = 'hot'")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for k, v in old.items():
