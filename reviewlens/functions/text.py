@@ -19,7 +19,7 @@ def exclamations(text: Column) -> Column:
 
 def capitals(text: Column) -> Column:
     """Number of capitals A-Z in the text."""
-    return F.length(F.regexp_replace(text, "[^A-Z]", ""))
+    return F.length(F.regexp_replace(text, "[^A-Z]+", ""))
 
 
 def tokens(text: Column) -> Column:

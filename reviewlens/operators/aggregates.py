@@ -167,9 +167,10 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson correlation of every pair of columns in long form (`x`, `y`, `r`), in one pass.
 
-    Each pair uses the rows that have both values, of the whole table unless a sample is asked for. A row fans out into one (pair, x, y) entry per pair,
-    so that a single aggregate with a handful of buffers serves every pair: one aggregate per pair would
-    outgrow code generation. Entries meet in the map-side aggregate; a task ships one row per pair.
+    Each pair uses the rows that have both values, of the whole table unless a sample is asked for. A row
+    fans out into one (pair, x, y) entry per pair, so that a single aggregate with a handful of buffers
+    serves every pair: one aggregate per pair would outgrow code generation. Entries meet in the map-side
+    aggregate; a task ships one row per pair.
     """
     pairs = list(combinations_with_replacement(cols, 2))
     entries = [

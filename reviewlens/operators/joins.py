@@ -1,7 +1,8 @@
 """Joins between the review table and its dimensions.
 
 No side is broadcast because it is believed to be small. A hint is given only where the number of rows
-is bounded by construction (the hot keys, the class table); everything else is left to Spark, which compares measured sizes with its broadcast threshold.
+is bounded by construction (the hot keys, the class table); everything else is left to Spark, which
+compares measured sizes with its broadcast threshold.
 """
 
 from __future__ import annotations
