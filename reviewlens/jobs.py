@@ -30,6 +30,11 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return read_features(df.sparkSession, path)
 
 
+def write_reports(reports: dict[str, DataFrame], out: str) -> None:
+    for name, table in reports.items():
+        write_features(table, f"{out}/reports/{name}")
+
+
 def eda_job(tables: dict[str, DataFrame], out: str, since_field: str | None = None, **options) -> None:
     """Profiles of the raw tables, cleaned tables and every report table under `out`."""
     for name, table in eda.profile_tables(tables).items():
@@ -60,14 +65,11 @@ def sentiment_job(
     train, test = sentiment.training_sets(wide, cfg)
     models, predictions, comparison = sentiment.train_models(train, test, cfg, checkpoint_dir)
     save_models(models, f"{out}/models")
+    reports = {**sentiment.wide_reports(wide), **sentiment.model_reports(models, predictions, comparison)}
+    write_reports(reports, out)
+    wide.sparkSession.catalog.clearCache()
     scored = stored(sentiment.score_all(models, wide), f"{out}/scored")
-    reports = {
-        **sentiment.wide_reports(wide),
-        **sentiment.model_reports(models, predictions, comparison),
-        **sentiment.reputation_tables(scored, **limits),
-    }
-    for name, table in reports.items():
-        write_features(table, f"{out}/reports/{name}")
+    write_reports(sentiment.reputation_tables(scored, **limits), out)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -58,7 +58,8 @@ def balance_classes(
 ) -> DataFrame:
     """Undersample every class to about the size of the `anchor` class, which is kept whole.
 
-    A class smaller than the anchor is kept whole too. The fractions are a table of one row per class.
+    A class smaller than the anchor is kept whole too; rows of no listed class are left out. The fractions
+    are a table of one row per class.
     """
     counts = class_counts(df, label, classes)
     anchor_n = counts.agg(F.max(F.when(F.col(label) == anchor, F.col("n_class")))).scalar()

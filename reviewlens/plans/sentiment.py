@@ -81,11 +81,13 @@ def train_models(
 
     The training rows are checkpointed before the iterative fits, so that a lost executor costs a read
     of the checkpoint and not the joins again. The neural network trains and is tested on a sub-sample.
+    The test features stay cached for the reports on the predictions; `spark.catalog.clearCache()` frees them.
     """
     train = add_class_weights(training_rows(train, cfg.key, checkpoint_dir))
     pipeline = build_feature_pipeline(cfg.models).fit(train)
     train_x = featurize(pipeline, train).persist(StorageLevel.MEMORY_AND_DISK)
-    test_x = featurize(pipeline, add_class_weights(cut_lineage(test, checkpoint_dir)))
+    test = add_class_weights(cut_lineage(test, checkpoint_dir))
+    test_x = featurize(pipeline, test).persist(StorageLevel.MEMORY_AND_DISK)
 
     def part(df: DataFrame) -> DataFrame:
         if cfg.mlp_sample is None:

@@ -33,7 +33,7 @@ from reviewlens.operators import reputation as rep
 from reviewlens.operators.features import NUMERIC_FEATURES, text_features, user_features
 from reviewlens.operators.joins import tip_counts
 from reviewlens.operators.model import add_class_weights, term_statistics
-from reviewlens.operators.words import NOISE_WORDS, word_table, words_for_businesses
+from reviewlens.operators.words import NOISE_WORDS, remove_stopwords, tokenize, word_table, words_for_businesses
 from reviewlens.plans.eda import clean_businesses
 from reviewlens.sources import from_rows, register_views
 from workloads import models as ml
@@ -578,6 +578,15 @@ for _name, _dir, _pick in (("topk_business_words", "DESC", rank.top_businesses),
         return words_for_businesses(st.text_reviews(spark, sf), pick(shop, "Hardware", 5))
 
 
+@query("token_counts", rf"""
+    SELECT doc_id, CAST(len(words) AS INTEGER) AS n_tokens,
+           CAST(len(list_filter(words, lambda w: w NOT IN ({quoted(english_stop_words())}))) AS INTEGER) AS n_kept
+    FROM (SELECT doc_id, regexp_split_to_array(lower(text), '\s') AS words FROM documents)""")
+def _(spark, sf):
+    docs = remove_stopwords(tokenize(st.table(spark, sf, "documents")))
+    return docs.select("doc_id", F.size("raw_words").alias("n_tokens"), F.size("filtered_words").alias("n_kept"))
+
+
 @query("term_statistics", rf"""
     SELECT term, count(*) AS n_total, count(DISTINCT doc_id) AS n_docs,
            CASE WHEN count(DISTINCT doc_id) >= 5
@@ -783,6 +792,21 @@ def _(spark, sf):
     return rounded(agg.histogram(st.table(spark, sf, "lineitem"), "l_extendedprice"), "bin_start", "mean")
 
 
+@query("reputation_histogram", f"""
+    WITH scores AS (SELECT round(avg_sentiment_score, 9) AS v FROM ({_REPUTATION})
+                    WHERE avg_sentiment_score IS NOT NULL),
+         edges AS (SELECT min(v) AS lo, max(v) AS hi, avg(v) AS mean FROM scores),
+         binned AS (SELECT least(CAST(floor((v - lo) / ((hi - lo) / 50.0::DOUBLE)) AS BIGINT), 49) AS bin
+                    FROM scores, edges)
+    SELECT g.bin, coalesce(b.n, 0) AS n, round(lo + g.bin * ((hi - lo) / 50.0::DOUBLE), 6) AS bin_start,
+           round(mean, 6) AS mean
+    FROM (SELECT range AS bin FROM range(50)) g
+    LEFT JOIN (SELECT bin, count(*) AS n FROM binned GROUP BY bin) b USING (bin), edges""")
+def _(spark, sf):
+    scores = rounded(reputation(spark, sf), "avg_sentiment_score", digits=9)
+    return rounded(agg.histogram(scores, "avg_sentiment_score"), "bin_start", "mean")
+
+
 # ---------------------------------------------------------------- fitted pipeline
 
 _LABELLED = f"""
