@@ -44,7 +44,7 @@ def folder(tmp_path_factory) -> Path:
 
 def test_eda_job(spark, folder, tmp_path):
     out = str(tmp_path / "out")
-    jobs.eda_job(jobs.read_inputs(spark, str(folder), "json", "since"), out, "since", min_total=10)
+    jobs.main(["eda", "--input", str(folder), "--output", out, "--since-field", "since"])
     assert len(list((tmp_path / "out" / "reports").iterdir())) == 24
     assert len(list((tmp_path / "out" / "profile").iterdir())) == 18
     assert read_features(spark, f"{out}/profile/duplicate_reviews").first().duplicates == 0
