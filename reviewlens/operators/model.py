@@ -29,6 +29,7 @@ from reviewlens.functions import nan_to_null
 from reviewlens.operators.clean import fill_empty_array, fill_zero
 from reviewlens.operators.features import NUMERIC_FEATURES
 from reviewlens.operators.sampling import class_counts
+from reviewlens.operators.words import STOP_WORDS
 
 CLASSES = (0, 1, 2)
 
@@ -96,14 +97,13 @@ def term_statistics(df: DataFrame, text: str = "text", min_doc_freq: int = 5) ->
     words twice, once all of them and once each distinct one, so the text is read once and nothing but
     (term, counts) is shuffled.
     """
-    stop = StopWordsRemover.loadDefaultStopWords("english")
     words = F.split(F.regexp_replace(F.lower(F.col(text)), "\\s+$", ""), "\\s")
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     counts = (
         df.select(words.alias("words"))
         .select(F.posexplode(F.array("words", F.array_distinct("words"))).alias("once", "words"))
         .select("once", F.explode("words").alias("term"))
-        .filter(~F.col("term").isin(stop))
+        .filter(~F.col("term").isin(*STOP_WORDS))
         .groupBy("term")
         .agg(F.count_if(F.col("once") == 0).alias("n_total"), F.count_if(F.col("once") == 1).alias("n_docs"))
     )

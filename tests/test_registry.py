@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import re
+import subprocess
+import sys
 from functools import cache
+from pathlib import Path
 
 import pytest
+from pyspark.ml.feature import StopWordsRemover
 
 import __spark_entry__ as contract
 from conftest import SMALL
-from reviewlens.operators.words import stop_words
+from reviewlens.operators.words import STOP_WORDS
 from workloads import registry
 from workloads.checking import database, problems
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 @pytest.fixture(scope="module")
 def db():
@@ -37,8 +43,24 @@ def test_entry(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-def test_stop_words_of_the_sql_text(spark):
-    assert set(registry.english_stop_words()) == set(stop_words()) and len(stop_words()) == 181
+def test_stop_words_are_those_of_spark(spark):
+    assert list(STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english") and len(STOP_WORDS) == 181
+
+
+def test_entry_imports_without_the_jars():
+    """In a fresh process, from another folder, with no session and no way to open Spark's jars."""
+    code = (
+        "import sys, zipfile, pathlib\n"
+        f"sys.path.insert(0, {str(ROOT)!r})\n"
+        "def refuse(*a, **k): raise RuntimeError('no jar access on import')\n"
+        "zipfile.ZipFile = refuse\n"
+        "pathlib.Path.glob = refuse\n"
+        "import __spark_entry__ as e\n"
+        "print(len(e.queries()), len(e.oracle_sql()))\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout.split()[-2]) >= 95
 
 
 @cache

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import zipfile
 from collections.abc import Callable
-from functools import cache
-from pathlib import Path
 
-import pyspark
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +29,14 @@ from reviewlens.operators import reputation as rep
 from reviewlens.operators.features import NUMERIC_FEATURES, text_features, user_features
 from reviewlens.operators.joins import tip_counts
 from reviewlens.operators.model import add_class_weights, term_statistics
-from reviewlens.operators.words import NOISE_WORDS, remove_stopwords, tokenize, word_table, words_for_businesses
+from reviewlens.operators.words import (
+    NOISE_WORDS,
+    STOP_WORDS,
+    remove_stopwords,
+    tokenize,
+    word_table,
+    words_for_businesses,
+)
 from reviewlens.plans.eda import clean_businesses
 from reviewlens.sources import from_rows, register_views
 from workloads import models as ml
@@ -66,15 +69,6 @@ def shops(spark: SparkSession, sf: str) -> DataFrame:
     return clean_businesses(st.businesses(spark, sf), st.RULES)
 
 
-@cache
-def english_stop_words() -> tuple[str, ...]:
-    """Spark's stop words for the SQL text, read from its own resources without starting a session."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    return tuple(text.split())
-
-
 def quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
@@ -547,7 +541,7 @@ _WORDS = rf"""
     FROM (SELECT business_id, CASE WHEN stars >= 4 THEN 'positive' WHEN stars <= 2 THEN 'negative' END AS sentiment,
                  unnest(regexp_split_to_array(lower(text), '\s')) AS word
           FROM ({st.TEXT_REVIEWS}) WHERE stars >= 4 OR stars <= 2)
-    WHERE length(word) > 2 AND word NOT IN ({quoted(english_stop_words() + NOISE_WORDS)})
+    WHERE length(word) > 2 AND word NOT IN ({quoted(STOP_WORDS + NOISE_WORDS)})
       AND NOT regexp_matches(word, '[^a-zA-Z]')"""
 
 
@@ -580,7 +574,7 @@ for _name, _dir, _pick in (("topk_business_words", "DESC", rank.top_businesses),
 
 @query("token_counts", rf"""
     SELECT doc_id, CAST(len(words) AS INTEGER) AS n_tokens,
-           CAST(len(list_filter(words, lambda w: w NOT IN ({quoted(english_stop_words())}))) AS INTEGER) AS n_kept
+           CAST(len(list_filter(words, lambda w: w NOT IN ({quoted(STOP_WORDS)}))) AS INTEGER) AS n_kept
     FROM (SELECT doc_id, regexp_split_to_array(lower(text), '\s') AS words FROM documents)""")
 def _(spark, sf):
     docs = remove_stopwords(tokenize(st.table(spark, sf, "documents")))
@@ -594,7 +588,7 @@ def _(spark, sf):
                 ELSE 0.0::DOUBLE END AS idf
     FROM (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(lower(text), '\s+$', ''), '\s')) AS term
           FROM documents)
-    WHERE term NOT IN ({quoted(english_stop_words())}) GROUP BY term""")
+    WHERE term NOT IN ({quoted(STOP_WORDS)}) GROUP BY term""")
 def _(spark, sf):
     return rounded(term_statistics(st.table(spark, sf, "documents")), "idf")
 
