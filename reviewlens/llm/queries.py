@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat
+from reviewlens.llm import binpack, chat, pieces
 from reviewlens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +64,29 @@ def _(spark, sf):
             F.length("formatted").cast("long").alias("formatted_chars"),
         )
     )
+
+
+SEQUENCE_TOKENS, END_ID = 4096, 1
+
+
+@query("op2_best_fit_packing")
+def _(spark, sf):
+    pieces = binpack.tokenize(
+        read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS, END_ID)
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return binpack.pack(digests, ["doc_id", "piece"], SEQUENCE_TOKENS)
+
+
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+@query("op3_sentencepiece")
+def _(spark, sf):
+    model = public_tokenizers.path(PIECE_MODEL)
+    decoded = pieces.decode(pieces.encode(read(spark, sf, "documents"), model), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
