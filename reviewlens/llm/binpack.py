@@ -23,11 +23,15 @@ from reviewlens.llm.common import free_name, slices, stored
 
 @dataclass(frozen=True)
 class SearchConfig:
-    """Bounds of the search. Beyond them the best plan found so far is taken; every piece is placed in any case."""
+    """Bounds of the search. Every piece is placed in any case.
+
+    `width` fillings are tried around a piece, found in at most `steps` steps; once there is a plan, `nodes` more
+    fillings are tried to better it.
+    """
 
     width: int = 4
-    steps: int = 400
-    nodes: int = 30_000
+    steps: int = 200
+    nodes: int = 1_500
 
 
 def tokenize(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text"):
@@ -181,7 +185,7 @@ def complete_bins(lengths: dict[int, int], capacity: int, cfg: SearchConfig = Se
             times = (allowed - waste) // lost
         if times < 1:
             continue
-        nodes += 1
+        nodes += best_bins is not None
         np.subtract.at(counts, list(filling), times)
         path.append((times, filling))
         wastes.append(lost * times)
@@ -194,10 +198,8 @@ def complete_bins(lengths: dict[int, int], capacity: int, cfg: SearchConfig = Se
             if best_bins == bound:
                 break
             stack.append(iter(()))
-        elif best_bins is not None and (nodes > cfg.nodes or waste > allowed):
-            if nodes > cfg.nodes:
-                break
-            stack.append(iter(()))
+        elif nodes > cfg.nodes:
+            break
         else:
             stack.append(iter(options(counts, allowed - waste, cfg)))
     return best

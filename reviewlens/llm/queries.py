@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, chat, pieces
-from reviewlens.llm.common import read
+from reviewlens.llm import binpack, brown, chat, pieces
+from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,11 @@ def _(spark, sf):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_brown_scores")
+def _(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    model = brown.fit(docs.filter(~held_out))
+    return brown.score(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
