@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, brown, chat, pieces
+from reviewlens.llm import binpack, brown, chat, langspans, pieces
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,12 @@ def _(spark, sf):
     held_out = remainder(F.col("doc_id"), 10) == 0
     model = brown.fit(docs.filter(~held_out))
     return brown.score(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+
+@query("op9_language_id")
+def _(spark, sf):
+    docs = read(spark, sf, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = langspans.fit(docs.filter(~held_out))
+    found = langspans.identify(docs.select("doc_id", "text"), model, spans=None)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
