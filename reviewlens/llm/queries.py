@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, brown, chat, langspans, pieces
+from reviewlens.llm import binpack, brown, chat, crf, langspans, pieces
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,16 @@ def _(spark, sf):
     model = langspans.fit(docs.filter(~held_out))
     found = langspans.identify(docs.select("doc_id", "text"), model, spans=None)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+GOOD_FROM = 0.7
+
+
+@query("op10_quality_crf")
+def _(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = crf.fit(docs.filter(~held_out), read(spark, sf, "labels").filter(~held_out))
+    scored = crf.classify(docs, model, out="score", lines=None)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
