@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, brown, chat, crf, langspans, pieces
+from reviewlens.llm import binpack, brown, chat, crf, jaccard, langspans, pieces
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,8 @@ def _(spark, sf):
     scored = crf.classify(docs, model, out="score", lines=None)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
+@query("op6_jaccard_join")
+def _(spark, sf):
+    return jaccard.near_duplicates(read(spark, sf, "documents"))
