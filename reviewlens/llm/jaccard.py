@@ -20,10 +20,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import slices, stored
+from reviewlens.llm.common import free_name, slices, stored
 from reviewlens.llm.components import components
 
 
@@ -305,3 +305,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
         (F.col("row") == F.col("least.row")).alias("kept"),
     )
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                cfg: JaccardConfig = JaccardConfig()) -> DataFrame:
+    """The rows of `docs` without near duplicates: of each class the row with the smallest key, with all its columns.
+
+    Rows are told apart by key and text. Of rows alike in both one stays, texts without words among them.
+    """
+    mark, place = free_name(docs, "mark"), free_name(docs, "place")
+    both = F.concat_ws("\0", F.coalesce(F.col(key).cast("string"), F.lit("\1")), F.col(text).cast("string"))
+    marked = docs.withColumn(mark, F.md5(both))
+    found = near_duplicates(marked.select(F.struct(key, mark).alias("_both"), F.col(text)), "_both", text, cfg)
+    kept = found.filter("kept").select(F.col("_both").getField(mark).alias(mark))
+    first = F.row_number().over(Window.partitionBy(mark).orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns]))
+    return marked.join(kept.distinct(), mark, "left_semi").withColumn(place, first).filter(
+        F.col(place) == 1).select(*docs.columns)
