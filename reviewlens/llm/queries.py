@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, brown, chat, crf, jaccard, langspans, pieces
+from reviewlens.llm import binpack, brown, chat, covertree, crf, jaccard, langspans, pieces
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,8 @@ def _(spark, sf):
 @query("op6_jaccard_join")
 def _(spark, sf):
     return jaccard.near_duplicates(read(spark, sf, "documents"))
+
+
+@query("op7_cover_tree")
+def _(spark, sf):
+    return covertree.near_vectors(read(spark, sf, "embeddings"))
