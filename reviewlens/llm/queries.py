@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, brown, chat, covertree, crf, jaccard, langspans, pieces
+from reviewlens.llm import binpack, brown, chat, covertree, crf, jaccard, langspans, permindex, pieces
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,8 @@ def _(spark, sf):
 @query("op7_cover_tree")
 def _(spark, sf):
     return covertree.near_vectors(read(spark, sf, "embeddings"))
+
+
+@query("op8_permutation_index")
+def _(spark, sf):
+    return permindex.search(read(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
