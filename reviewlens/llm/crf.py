@@ -272,7 +272,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 [batch.column(1), pa.array(packed, pa.binary()), pa.array(sizes, pa.list_(pa.int64()))],
                 names=["good", "own", "sizes"])
 
-    table = rows.mapInArrow(run, "good long, own binary, sizes array<long>").toArrow()
+    found = rows.mapInArrow(run, "good long, own binary, sizes array<long>")
+    table = found.orderBy(F.xxhash64("own", "good")).limit(cfg.fit_documents).toArrow()  # a key may stand on many rows
     if not table.num_rows:
         return CrfModel()
     table = table.sort_by([("own", "ascending")])  # the order of rows must not matter

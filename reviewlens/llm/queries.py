@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, brown, chat, covertree, crf, jaccard, langspans, permindex, pieces
+from reviewlens.llm import binpack, brown, chat, covertree, crf, jaccard, langspans, pagetext, permindex, pieces
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,10 @@ def _(spark, sf):
 @query("op8_permutation_index")
 def _(spark, sf):
     return permindex.search(read(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op4_page_text")
+def _(spark, sf):
+    pages = read(spark, sf, "pages").select("page_id", "url", "html")
+    texts = pagetext.main_text(pages, pagetext.fit(pages))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
