@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 
@@ -45,18 +46,26 @@ class ChunkTable:
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<i4").tobytes()
+    return struct.pack(f"<{len(ids)}i", *ids)
 
 
 #: A full stop or comma after anything but these letters, digits and gaps may belong to a run of signs.
 _SIGN_RUN = re.compile(r"[^a-zA-Z0-9 \nÀ-ÖØ-öø-ÿ][.,]")
-#: Words of letters that lower-case and compose to themselves, one by one.
-_LETTERS = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+#: A word of letters that lower-case and compose one by one, and signs behind it that are a token run of their own.
+_WORD = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _AT_ONCE = 2000
 
 
 def word_chunks(text: str) -> list[str]:
-    """Chunks of a text for a word model that drops white space: cut at spaces and line ends, and before commas."""
+    """Chunks of a text for a word model that ignores case and white space: cut at spaces, line ends, before commas.
+
+    Case goes first where every letter has one simple lower case of its own.
+    """
+    try:
+        text.encode("latin-1")
+        text = text.lower()
+    except UnicodeEncodeError:
+        pass
     if not _SIGN_RUN.search(text):
         text = text.replace(",", " ,").replace(".", " .")
     return text.replace("\n", " ").split(" ")
@@ -88,13 +97,19 @@ def word_table(path: str) -> ChunkTable:
         """A plain word needs neither normalising nor cutting, so it goes straight to the merges."""
         return [t.id for t in model.tokenize(word.lower().encode().decode("latin-1").translate(letters))]
 
+    @lru_cache(100_000)
+    def signs(run: str) -> bytes:
+        return packed(ids_of([run])[0])
+
     trial = ["Hello", "été", "Straße", "ÀÖØÞ", "naïve", "ooooooooo", "I"]
     direct = [word_ids(w) for w in trial] == ids_of(trial)
 
     def encode(chunks: list[str]) -> list[bytes]:
         """Many chunks go to the library as one text with a special token between them, which then parts the ids."""
-        words = [c for c in chunks if _LETTERS.fullmatch(c)] if direct else []
-        out = {c: packed(i) for c, i in zip(words, map(word_ids, words))}
+        out = {}
+        for match in map(_WORD.fullmatch, chunks) if direct else ():
+            if match and stop[:2] not in match[2]:
+                out[match[0]] = packed(word_ids(match[1])) + signs(match[2])
         odd = [c for c in chunks if stop[:2] in c]
         out.update((c, packed(i)) for c, i in zip(odd, ids_of(odd)))
         plain = [c for c in chunks if c not in out]

@@ -199,23 +199,28 @@ def _cells(classes: DataFrame, centres: np.ndarray, reach: float) -> DataFrame:
     """Every class in its home cell and in those where it is a guest."""
     apart = np.sqrt(np.maximum(((centres[:, None] - centres[None]) ** 2).sum(-1), 1e-30)) if len(centres) else None
 
+    def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        u = units(vectors.matrix(batch["vector"]))
+        if u.shape[1] == centres.shape[1]:
+            away = (u * u).sum(1)[:, None] + (centres * centres).sum(1)[None] - 2 * u @ centres.T
+            home = away.argmin(1)
+            border = (away - away[np.arange(len(u)), home][:, None]) / (2 * apart[home])
+            visits = (border <= reach + 1e-9) & (np.arange(len(centres))[None] < home[:, None])
+            visits[np.arange(len(u)), home] = True
+            row, cell = np.nonzero(visits)
+            at_home = cell == home[row]
+        else:  # a dimension that the sample did not have
+            row, cell = np.arange(len(u)), np.zeros(len(u), dtype=np.int64)
+            at_home = np.ones(len(u), dtype=bool)
+        taken = batch.take(pa.array(row))
+        return pa.record_batch([*taken.columns, pa.array(cell, pa.int32()), pa.array(at_home)],
+                               names=[*batch.schema.names, "cell", "home"])
+
     def run(batches):
         for batch in slices(batches, 1024):
-            u = units(vectors.matrix(batch["vector"]))
-            if u.shape[1] == centres.shape[1]:
-                away = ((u * u).sum(1)[:, None] + (centres * centres).sum(1)[None] - 2 * u @ centres.T)
-                home = away.argmin(1)
-                border = (away - away[np.arange(len(u)), home][:, None]) / (2 * apart[home])
-                visits = (border <= reach + 1e-9) & (np.arange(len(centres))[None] < home[:, None])
-                visits[np.arange(len(u)), home] = True
-                row, cell = np.nonzero(visits)
-                at_home = cell == home[row]
-            else:  # a dimension that the sample did not have
-                row, cell = np.arange(len(u)), np.zeros(len(u), dtype=np.int64)
-                at_home = np.ones(len(u), dtype=bool)
-            taken = batch.take(pa.array(row))
-            yield pa.record_batch([*taken.columns, pa.array(cell, pa.int32()), pa.array(at_home)],
-                                  names=[*batch.schema.names, "cell", "home"])
+            dims = np.asarray(batch["dim"])
+            for dim in np.unique(dims):
+                yield placed(batch.filter(pa.array(dims == dim)))
 
     schema = classes.withColumns({"cell": F.lit(0), "home": F.lit(True)}).schema
     return classes.mapInArrow(run, schema)

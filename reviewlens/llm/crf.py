@@ -222,7 +222,11 @@ def train(own: np.ndarray, sizes: np.ndarray, counts: np.ndarray, label: np.ndar
     good = label[doc].astype(float)
     starts = np.cumsum(counts) - counts
     scale = len(counts)
-    for _ in range(cfg.rounds):
+    # The first round looks at lines by themselves, so that good lines beside bad ones are told apart from them.
+    alone = np.zeros(WIDTH + 4)
+    alone[:OWN] = alone[WIDTH - 1] = 1
+    for nth in range(cfg.rounds):
+        taught = alone if nth == 0 else 1.0
         pairs = np.zeros((2, 2))
         np.add.at(pairs, (good[:-1][~first[1:]].astype(int), good[1:][~first[1:]].astype(int)), 1)
         seen = features.T @ good
@@ -230,7 +234,7 @@ def train(own: np.ndarray, sizes: np.ndarray, counts: np.ndarray, label: np.ndar
         def gradient(value: np.ndarray) -> np.ndarray:
             p, changes = marginals(features @ value[:WIDTH], value[WIDTH:].reshape(2, 2), chains)
             g = np.concatenate([seen - features.T @ p, (pairs - changes).ravel()]) / scale
-            return g - cfg.ridge * value
+            return (g - cfg.ridge * value) * taught
 
         value = _adam(np.concatenate([model.weights, model.move.ravel()]), gradient, cfg.steps, cfg.rate)
         model.weights, model.move = value[:WIDTH], value[WIDTH:].reshape(2, 2)

@@ -62,7 +62,7 @@ def parse(html: str | None, is_node=lambda names: bool(names)) -> Tree:
     links, at = 0, 0
     parts = tree.parts
 
-    def close(tags: frozenset[str], stops: frozenset[str]) -> None:
+    def close(tags: frozenset[str], stops: frozenset[str]) -> bool:
         """End the nearest open element of these, and all within, unless one of the stops comes first."""
         nonlocal links
         for i in range(len(stack) - 1, 0, -1):
@@ -71,9 +71,10 @@ def parse(html: str | None, is_node=lambda names: bool(names)) -> Tree:
                 if any(t in BLOCKS for t, _ in stack[i:]):
                     parts.append((-1, ""))
                 del stack[i:]
-                return
+                return True
             if stack[i][0] in stops:
-                return
+                break
+        return False
 
     def read(text: str) -> None:
         if text:
@@ -95,7 +96,8 @@ def parse(html: str | None, is_node=lambda names: bool(names)) -> Tree:
         tag = found[2].lower()
         if found[1]:
             # An inline end does not reach over a block; a block's own end does.
-            close(frozenset({tag}), frozenset() if tag in BLOCKS else BLOCKS)
+            if not close(frozenset({tag}), frozenset() if tag in BLOCKS else BLOCKS) and tag == "p":
+                parts.append((-1, ""))  # the end of a paragraph that is not open is an empty one
             continue
         attributes = found[3]
         if tag in UNREAD:

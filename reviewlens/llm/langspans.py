@@ -158,8 +158,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", cfg: LangConfig
 
 def word_scores(words: Words, model: LangModel) -> np.ndarray:
     """Log-likelihood of each word in each language, against its best candidate and not below the floor."""
-    if not len(words.first):
-        return np.zeros((0, len(model.languages)))
+    if not len(words.first) or not model.languages:
+        return np.zeros((len(words.first), len(model.languages)))
     sums = np.add.reduceat(model.logs[words.bucket], words.first, axis=0).astype(np.float64)
     sums[~model.candidate[words.script]] = -np.inf
     return np.maximum(sums - sums.max(1, keepdims=True), model.cfg.floor)

@@ -234,8 +234,7 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", cfg: PageCon
 def decode(page: Page, log_odds: np.ndarray, named: float) -> np.ndarray:
     """Which nodes to keep: the best choice in which every kept node's parent is kept."""
     tree = page.tree
-    other = np.array([t in OTHER_TAGS or telling(names) for t, names in zip(tree.tag, tree.names)])
-    score = np.clip(log_odds, -4, 4) - named * 2 * other
+    score = np.clip(log_odds, -4, 4) - named * 2 * page.told_other
     own = page.letters.copy()
     for i in range(len(own) - 1, 0, -1):
         own[tree.parent[i]] -= page.letters[i]
