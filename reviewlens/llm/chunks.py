@@ -95,7 +95,10 @@ def word_table(path: str) -> ChunkTable:
 
     def word_ids(word: str) -> list[int]:
         """A plain word needs neither normalising nor cutting, so it goes straight to the merges."""
-        return [t.id for t in model.tokenize(word.lower().encode().decode("latin-1").translate(letters))]
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(letters)
+        return [t.id for t in model.tokenize(word)]
 
     @lru_cache(100_000)
     def signs(run: str) -> bytes:
@@ -107,9 +110,11 @@ def word_table(path: str) -> ChunkTable:
     def encode(chunks: list[str]) -> list[bytes]:
         """Many chunks go to the library as one text with a special token between them, which then parts the ids."""
         out = {}
-        for match in map(_WORD.fullmatch, chunks) if direct else ():
-            if match and stop[:2] not in match[2]:
-                out[match[0]] = packed(word_ids(match[1])) + signs(match[2])
+        for chunk in chunks if direct else ():
+            if chunk.isalpha() and (chunk.isascii() or max(chunk) <= "ÿ"):
+                out[chunk] = packed(word_ids(chunk))
+            elif (match := _WORD.fullmatch(chunk)) and stop[:2] not in match[2]:
+                out[chunk] = packed(word_ids(match[1])) + signs(match[2])
         odd = [c for c in chunks if stop[:2] in c]
         out.update((c, packed(i)) for c, i in zip(odd, ids_of(odd)))
         plain = [c for c in chunks if c not in out]
