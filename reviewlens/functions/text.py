@@ -23,8 +23,13 @@ def capitals(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case tokens between white space; missing text gives one empty token."""
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), "\\s")
+    """Lower-case tokens between single white-space characters, without the empty ones at the end.
+
+    Text of white space alone has no token; empty and missing text have one empty token.
+    """
+    low = F.lower(F.coalesce(text, F.lit("")))
+    cut = F.regexp_replace(low, "\\s+$", "")
+    return F.when((cut == "") & (low != ""), F.array().cast("array<string>")).otherwise(F.split(cut, "\\s"))
 
 
 def normalise_words(word: Column, mapping: dict[str, str]) -> Column:

@@ -167,38 +167,36 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson correlation of every pair of columns in long form (`x`, `y`, `r`), in one pass.
 
-    Each pair uses the rows that have both values, of the whole table unless a sample is asked for. A row
-    fans out into one (pair, x, y) entry per pair, so that a single aggregate with a handful of buffers
-    serves every pair: one aggregate per pair would outgrow code generation. Entries meet in the map-side
-    aggregate; a task ships one row per pair.
+    Each pair uses the rows that have both values, of the whole table unless a sample is asked for. All pairs are
+    aggregates of one scan; their single row of results is then unfolded, each pair both ways.
     """
+    rows = df if fraction is None else df.sample(fraction=fraction, seed=seed)
     pairs = list(combinations_with_replacement(cols, 2))
+    values = rows.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(cols)])
+    found = values.agg(*[pearson(F.col(x), F.col(y)).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
     entries = [
-        F.struct(F.lit(i).alias("pair"), F.col(x).cast("double").alias("a"), F.col(y).cast("double").alias("b"))
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r"))
         for i, (x, y) in enumerate(pairs)
+        for a, b in dict.fromkeys([(x, y), (y, x)])
     ]
-    rows = df if fraction is None else df.sample(fraction=fraction, seed=seed)
-    by_pair = rows.select(F.inline(F.array(*entries))).groupBy("pair").agg(pearson(F.col("a"), F.col("b")).alias("r"))
-    first, second = (F.array(*[F.lit(pair[side]) for pair in pairs]) for side in (0, 1))
-    named = by_pair.select(
-        F.get(first, F.col("pair")).alias("x"), F.get(second, F.col("pair")).alias("y"), "r"
-    )
-    return named.unionByName(named.filter("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
+    return found.select(F.inline(F.array(*entries)))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Counts in equal-width bins between the smallest and the largest value, empty bins included.
 
     The last bin includes its upper edge; a constant column gets a range of one around its value.
-    `mean` repeats the column's mean on every row, for a reference line.
+    `mean` repeats the column's mean on every row, for a reference line. Null and NaN are left out.
     """
-    values = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
+    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     edges = values.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.avg("v").alias("mean")).select(
-        F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
-        F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
-        "mean",
-    )
-    lo, hi, mean = (edges.select(c).scalar() for c in ("lo", "hi", "mean"))
+        F.struct(
+            F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
+            F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
+            "mean",
+        )
+    ).scalar()
+    lo, hi, mean = (edges.getField(c) for c in ("lo", "hi", "mean"))
     width = (hi - lo) / F.lit(float(bins))
     counts = (
         values.select(F.least(F.floor((F.col("v") - lo) / width), F.lit(bins - 1)).alias("bin"))

@@ -7,6 +7,7 @@ compares measured sizes with its broadcast threshold.
 
 from __future__ import annotations
 
+import math
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,31 @@ def hot_keys(df: DataFrame, key: str, pieces: int | None = None) -> DataFrame:
     return counts.filter(filled > 1).select(key, F.ceil(filled).cast("int").alias("_pieces"))
 
 
+def hot_keys_together(df: DataFrame, keys: list[str], pieces: int | None = None) -> dict[str, DataFrame]:
+    """`hot_keys` of several columns, counted in one scan of `df`, as tables that are already there.
+
+    There are fewer than `pieces` of each, whatever the data, so they pass through the driver.
+    """
+    spark = df.sparkSession
+    pieces = pieces or default_pieces(spark)
+    sets = [[F.col(k)] for k in keys]
+    counts = df.groupingSets(sets, *keys).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
+    # Bit i from the left is 0 for the column that a row counts.
+    which = {(1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)): k for i, k in enumerate(keys)}
+    of = {number: (F.col("_set") == number) & F.col(k).isNotNull() for number, k in which.items()}
+    totals = counts.agg(F.struct(*[F.sum(F.when(own, F.col("_n"))).alias(f"t{n}") for n, own in of.items()])).scalar()
+    filled = F.coalesce(*[
+        F.when(own, F.col("_n") * F.lit(pieces) / totals.getField(f"t{n}")) for n, own in of.items()])
+    found = counts.withColumn("_filled", filled).filter("_filled > 1").collect()
+    return {
+        k: spark.createDataFrame(
+            [(r[k], math.ceil(r["_filled"])) for r in found if r["_set"] == number],
+            T.StructType([T.StructField(k, df.schema[k].dataType), T.StructField("_pieces", T.IntegerType())]),
+        )
+        for number, k in which.items()
+    }
+
+
 def _spread(df: DataFrame, key: str) -> list[Column]:
     simple = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.StructType))]
     return [F.col(c) for c in simple if c != key]
@@ -58,7 +84,7 @@ def skew_join(
 
     The sub-key is a hash of the row itself (of `spread`, by default of every simple column), so a task that
     runs again after a lost executor puts each row where it was before. `hot` may hand in the hot keys found
-    on a cheaper table than `fact`. `how` is `left` or `inner`.
+    on a cheaper table than `fact`; it must come from `hot_keys` or `hot_keys_together`, whose size is bounded. `how` is `left` or `inner`.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join repeats dimension rows, so only left and inner joins are exact")
@@ -106,9 +132,9 @@ def build_wide(
         tip_counts(tip, "business_id", "business_tip_count"),
     ]
     of_user = [prefix_columns(user, clash, "user_"), tip_counts(tip, "user_id", "user_tip_count")]
-    by_business, by_user = hot_keys(review, "business_id"), hot_keys(review, "user_id")
-    wide = skew_join(review, of_business, "business_id", hot=by_business, spread=spread)
-    return skew_join(wide, of_user, "user_id", hot=by_user, spread=spread)
+    hot = hot_keys_together(review, ["business_id", "user_id"])
+    wide = skew_join(review, of_business, "business_id", hot=hot["business_id"], spread=spread)
+    return skew_join(wide, of_user, "user_id", hot=hot["user_id"], spread=spread)
 
 
 def restrict_to_keys(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

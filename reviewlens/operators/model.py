@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions import nan_to_null
+from reviewlens.functions import nan_to_null, tokens
 from reviewlens.operators.clean import fill_empty_array, fill_zero
 from reviewlens.operators.features import NUMERIC_FEATURES
 from reviewlens.operators.sampling import class_counts
@@ -97,7 +97,7 @@ def term_statistics(df: DataFrame, text: str = "text", min_doc_freq: int = 5) ->
     words twice, once all of them and once each distinct one, so the text is read once and nothing but
     (term, counts) is shuffled.
     """
-    words = F.split(F.regexp_replace(F.lower(F.col(text)), "\\s+$", ""), "\\s")
+    words = tokens(F.col(text))
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     counts = (
         df.select(words.alias("words"))

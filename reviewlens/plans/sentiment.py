@@ -35,14 +35,20 @@ from reviewlens.sources import cut_lineage, training_rows
 
 @dataclass(frozen=True)
 class TrainingConfig:
-    """How the training rows are chosen. `key` names columns that identify a review."""
+    """How the training rows are chosen. `key` names columns that identify a review.
+
+    `fit_sample` and `mlp_fit_sample` bound the rows that models are fitted on, as fractions of the training rows; by
+    default all are used. Every held-out row is scored and compared, whatever they say. `partitions` is the number of
+    parts that training rows are dealt over.
+    """
 
     key: list[str] = field(default_factory=lambda: ["review_id"])
     split_weights: tuple[float, float] = (0.8, 0.2)
     split_seed: int = 25
-    sample: float | None = 0.25
-    mlp_sample: float | None = 0.25
+    fit_sample: float | None = None
+    mlp_fit_sample: float | None = None
     balance_seed: int = 42
+    partitions: int = 64
     models: ModelConfig = ModelConfig()
 
 
@@ -65,13 +71,13 @@ def prepare_wide(
 
 
 def training_sets(wide: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> tuple[DataFrame, DataFrame]:
-    """Balanced, split and sampled training and test rows."""
+    """Balanced and split rows: those to fit on, sampled if asked for, and all held-out ones."""
     rows = model_columns(wide, keep=(*cfg.key, "business_id", "state"))
     balanced = balance_classes(rows, seed=cfg.balance_seed, key=cfg.key)
-    parts = split(balanced, list(cfg.split_weights), cfg.split_seed, cfg.key)
-    if cfg.sample is not None:
-        parts = [sample_fraction(p, cfg.sample, cfg.split_seed, cfg.key) for p in parts]
-    return parts[0], parts[1]
+    train, test = split(balanced, list(cfg.split_weights), cfg.split_seed, cfg.key)
+    if cfg.fit_sample is not None:
+        train = sample_fraction(train, cfg.fit_sample, cfg.split_seed, cfg.key)
+    return train, test
 
 
 def train_models(
@@ -80,31 +86,27 @@ def train_models(
     """Fit the pipeline and three classifiers: (models, test predictions, comparison table).
 
     The training rows are checkpointed before the iterative fits, so that a lost executor costs a read
-    of the checkpoint and not the joins again. The neural network trains and is tested on a sub-sample.
+    of the checkpoint and not the joins again. Class weights are for fitting: test rows have none.
     The test features stay cached for the reports on the predictions; `spark.catalog.clearCache()` frees them.
     """
-    train = add_class_weights(training_rows(train, cfg.key, checkpoint_dir))
+    train = add_class_weights(training_rows(train, cfg.key, cfg.partitions, checkpoint_dir))
     pipeline = build_feature_pipeline(cfg.models).fit(train)
     train_x = featurize(pipeline, train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = add_class_weights(cut_lineage(test, checkpoint_dir))
-    test_x = featurize(pipeline, test).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def part(df: DataFrame) -> DataFrame:
-        if cfg.mlp_sample is None:
-            return df
-        return sample_fraction(df, cfg.mlp_sample, cfg.balance_seed, cfg.key)
-
+    test_x = featurize(pipeline, cut_lineage(test, checkpoint_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    small = train_x
+    if cfg.mlp_fit_sample is not None:
+        small = sample_fraction(train_x, cfg.mlp_fit_sample, cfg.balance_seed, cfg.key)
     models = {
         "features": pipeline,
         "lr": train_lr(train_x, cfg.models),
         "rf": train_rf(train_x, cfg.models),
-        "mlp": train_mlp(part(train_x), vector_size(pipeline), cfg.models),
+        "mlp": train_mlp(small, vector_size(pipeline), cfg.models),
     }
     train_x.unpersist()
     predictions = {
         "Logistic Regression": score(models["lr"], test_x),
         "Random Forest": score(models["rf"], test_x),
-        "MLP": score(models["mlp"], part(test_x)),
+        "MLP": score(models["mlp"], test_x),
     }
     return models, predictions, ev.compare_models(predictions)
 
@@ -146,19 +148,20 @@ def score_all(models: dict, wide: DataFrame) -> DataFrame:
 
 def reputation_tables(
     scored: DataFrame,
-    min_reviews: int = 20,
+    reputation: DataFrame,
     min_ranked: int = 100,
     min_year: int = 500,
     min_state: int = 5000,
     years: tuple[int, int] = (2005, 2022),
     k: int = 10,
 ) -> dict[str, DataFrame]:
-    """Every reputation table by name. Write `scored` out first: each table reads it again."""
-    reputation = rep.business_reputation(scored, min_reviews)
+    """Every table on the scored reviews and on `reputation`, their `business_reputation`, by name.
+
+    Write both out first: each table reads one of them again.
+    """
     valid = reputation.filter(F.col("avg_sentiment_score").isNotNull())
     return {
         "valid_rate": valid_rate(scored, "sentiment_score"),
-        "reputation": reputation,
         "score_star_corr": rep.score_star_corr(reputation),
         "score_sample": rep.reputation_sample(reputation),
         "score_histogram": histogram(valid, "avg_sentiment_score"),

@@ -3,8 +3,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import Tokenizer
 from pyspark.sql import functions as F
 
+from reviewlens.operators import aggregates as agg
 from reviewlens.operators import aggregates as a
 from reviewlens.operators import ranking as r
 from reviewlens.operators.words import NOISE_WORDS, remove_stopwords, tokenize, word_table, words_for_businesses
@@ -158,3 +160,23 @@ def test_every_eda_table_runs(raw):
     assert len(tables) == 24
     empty = {name for name, df in tables.items() if not df.collect()}
     assert empty == {"city_stats: Home & Local Services", "top_businesses: Home & Local Services"}
+
+
+def test_tokens_equal_sparks_tokenizer(spark):
+    texts = ["", "a", "good ", " lead", "two  gaps", "   ", "\n\t", "Tab\tEnd \n", "É  x ", "a b  \t"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    theirs = {r.text: r.words for r in Tokenizer(inputCol="text", outputCol="words").transform(df).collect()}
+    assert {r.text: r.raw_words for r in tokenize(df).collect()} == theirs
+    assert tokenize(spark.createDataFrame([(None,)], "text string")).first().raw_words == [""]
+
+
+def test_histogram_leaves_out_nan_and_null(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    rows = agg.histogram(df, "v", 2).orderBy("bin").collect()
+    assert [(r.n, r.bin_start, r["mean"]) for r in rows] == [(1, 1.0, 1.5), (1, 1.5, 1.5)]
+
+
+def test_correlations_do_not_unfold_the_rows(spark):
+    df = spark.range(100).selectExpr("id AS a", "id * id AS b", "id % 3 AS c")
+    plan = agg.correlation_matrix(df, ["a", "b", "c"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and plan.count("Range (") == 1

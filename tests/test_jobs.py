@@ -10,6 +10,7 @@ import pytest
 
 from reviewlens import jobs
 from reviewlens.operators.model import ModelConfig
+from reviewlens.plans import eda
 from reviewlens.plans.sentiment import TrainingConfig
 from reviewlens.sources import load_models, read_counts, read_features
 
@@ -56,7 +57,7 @@ def test_eda_job(spark, folder, tmp_path):
 
 def test_sentiment_job(spark, folder, tmp_path):
     out = str(tmp_path / "out")
-    cfg = TrainingConfig(sample=None, mlp_sample=None, models=ModelConfig(
+    cfg = TrainingConfig(partitions=4, models=ModelConfig(
         vocab_size=30, min_doc_freq=1, lr_iterations=10, rf_trees=3, rf_depth=3, mlp_hidden=3, mlp_iterations=5))
     jobs.sentiment_job(jobs.read_inputs(spark, str(folder), "json", "since"), out, "since", cfg, str(tmp_path / "cp"),
                        min_reviews=5, min_ranked=5, min_year=5, min_state=5)
@@ -74,3 +75,10 @@ def test_sentiment_job(spark, folder, tmp_path):
     # the score knows good from bad
     by_stars = {r.stars: r.s for r in scored.groupBy("stars").agg({"sentiment_score": "avg"}).toDF("stars", "s").collect()}
     assert by_stars[1.0] < by_stars[3.0] < by_stars[5.0]
+
+
+def test_raw_text_is_parsed_once(spark, folder, tmp_path):
+    """Each raw table is scanned once, for its typed copy; everything else reads Parquet."""
+    tables = jobs.typed_copies(jobs.read_inputs(spark, str(folder), "json", "since"), str(tmp_path / "out"))
+    plans = [t._jdf.queryExecution().executedPlan().toString() for t in eda.profile_tables(tables).values()]
+    assert all("Format: Parquet" in p and "json" not in p.lower() for p in plans)

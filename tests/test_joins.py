@@ -138,3 +138,12 @@ def test_densify(spark):
 
 def test_tip_counts(raw):
     assert {tuple(r) for r in j.tip_counts(raw["tip"], "user_id").collect()} == {("u1", 2), ("u9", 1)}
+
+
+def test_hot_keys_together_equal_one_by_one(skewed):
+    fact = skewed[0].withColumn("other", F.when(F.col("row") % 5 == 0, F.lit(7)).otherwise(F.col("row")))
+    together = j.hot_keys_together(fact, ["key", "other"], 20)
+    for key in ("key", "other"):
+        assert {tuple(r) for r in together[key].collect()} == {tuple(r) for r in j.hot_keys(fact, key, 20).collect()}
+    empty = j.hot_keys_together(fact.filter("row < 0"), ["key", "other"], 20)
+    assert all(t.isEmpty() for t in empty.values())

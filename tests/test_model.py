@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 from reviewlens.operators import evaluate as ev
 from reviewlens.operators import model as m
 from reviewlens.operators.features import NUMERIC_FEATURES
+from reviewlens.operators.reputation import business_reputation
 from reviewlens.plans.sentiment import TrainingConfig, reputation_tables, score_all, train_models, training_sets
 from reviewlens.sources import load_models, save_models
 
 WORDS = {0: "awful rude cold dirty never", 1: "average okay ordinary fine price", 2: "great loved amazing friendly best"}
-SMALL = TrainingConfig(sample=None, mlp_sample=None, models=m.ModelConfig(
+SMALL = TrainingConfig(partitions=4, models=m.ModelConfig(
     vocab_size=40, min_doc_freq=1, category_vocab=10, lr_iterations=20, rf_trees=5, rf_depth=4,
     rf_min_instances=1, mlp_hidden=4, mlp_iterations=20))
 
@@ -49,6 +51,20 @@ def test_training_sets_are_balanced_and_disjoint(wide):
     assert abs(n[0] - n[1]) < 30 and abs(n[2] - n[1]) < 30
 
 
+def test_default_config_scores_every_held_out_row(wide, tmp_path):
+    """The configuration as it comes: nothing is sampled, and all held-out rows are compared."""
+    cfg = TrainingConfig()
+    train, test = training_sets(wide, cfg)
+    assert train.join(test, "review_id").isEmpty() and cfg.fit_sample is None and cfg.mlp_fit_sample is None
+    _, predictions, table = train_models(train, test, cfg, str(tmp_path))
+    assert {r.n_rows for r in table.collect()} == {test.count()} == {p.count() for p in predictions.values()}
+
+
+def test_fit_samples_do_not_touch_the_held_out_rows(wide):
+    whole, part = training_sets(wide, SMALL), training_sets(wide, replace(SMALL, fit_sample=0.3))
+    assert part[0].count() < 0.6 * whole[0].count() and part[1].count() == whole[1].count()
+
+
 def test_vector_size_is_the_number_of_names(fitted, wide):
     pipeline = fitted[0]["features"]
     names = ev.feature_names(pipeline)
@@ -175,8 +191,9 @@ def test_nan_probability_gives_null_score(fitted, spark, wide):
 
 def test_reputation_end_to_end(fitted, wide):
     scored = score_all(fitted[0], wide).cache()
-    tables = reputation_tables(scored, min_reviews=20, min_ranked=20, min_year=10, min_state=50, years=(2015, 2024))
-    rep = tables["reputation"].collect()
+    reputation = business_reputation(scored, 20)
+    tables = reputation_tables(scored, reputation, min_ranked=20, min_year=10, min_state=50, years=(2015, 2024))
+    rep = reputation.collect()
     # twelve businesses, each with one tag list
     assert len(rep) == 12 and sum(r.total_reviews for r in rep) == 600
     assert tables["best"].first().avg_sentiment_score == pytest.approx(max(r.avg_sentiment_score for r in rep))

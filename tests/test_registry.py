@@ -31,10 +31,54 @@ def test_query_equals_sql(spark, db, name):
     assert not found
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE)))
-def test_query_without_sql_runs(spark, name):
-    df = registry.QUERIES[name](spark, SMALL)
-    assert df.columns and df.collect() is not None
+def rows(spark, name: str) -> list:
+    return registry.QUERIES[name](spark, SMALL).collect()
+
+
+def test_models_are_judged_on_held_out_rows(spark):
+    split = {r.review_id: r.part for r in rows(spark, "training_split")}
+    assert {r.review_id for r in rows(spark, "feature_pipeline")} == {d for d, p in split.items() if p == "train"}
+    test = {d for d, p in split.items() if p == "test"}
+    for name in ("score_lr", "score_rf", "score_mlp"):
+        scored = rows(spark, name)
+        assert {r.review_id for r in scored} == test and len(scored) == len(test)
+        for r in scored:
+            assert sum(r[f"probability_{c}"] for c in (0, 1, 2)) == pytest.approx(1, abs=1e-5)
+            assert r.prediction in (0, 1, 2)
+    compared = rows(spark, "compare_models")
+    assert {r.n_rows for r in compared} == {len(test)} and all(0 <= r.accuracy <= 1 for r in compared)
+
+
+def test_every_text_is_scored(spark, db):
+    n = db.execute("SELECT count(*) FROM documents").fetchone()[0]
+    scored = rows(spark, "sentiment_scores")
+    assert len({r.review_id for r in scored}) == len(scored) == n
+    for r in scored:
+        assert -1 <= r.sentiment_score <= 1 and r.sentiment_score == pytest.approx(r.pos_prob - r.neg_prob, abs=2e-6)
+    assert sum(r.total_reviews for r in rows(spark, "sentiment_reputation")) <= n
+
+
+def test_features_and_what_drives_the_models(spark):
+    names = {r.position: (r.feature, r.kind) for r in rows(spark, "feature_names")}
+    assert {r.n_features for r in rows(spark, "feature_pipeline")} == {len(names)}
+    assert all(0 < r.n_nonzero <= len(names) and r.classWeight > 0 for r in rows(spark, "feature_pipeline"))
+    for name, column in (("lr_importance", "importance"), ("rf_importance", "importance"),
+                         ("negative_drivers", "weight"), ("positive_drivers", "weight")):
+        ranked = rows(spark, name)
+        values = [r[column] for r in ranked]
+        assert values == sorted(values, reverse=True) and all(names[r.position] == (r.feature, r.kind) for r in ranked)
+
+
+def test_texts_given_by_hand(spark):
+    scored = rows(spark, "score_given_rows")
+    assert [r.text for r in scored] == list(registry._TYPED)
+    assert all(sum(r[f"probability_{c}"] for c in (0, 1, 2)) == pytest.approx(1, abs=1e-5) for r in scored)
+
+
+def test_no_query_without_sql_is_left_out():
+    checked = ("score_lr score_rf score_mlp compare_models feature_pipeline sentiment_scores sentiment_reputation "
+               "feature_names lr_importance rf_importance negative_drivers positive_drivers score_given_rows").split()
+    assert set(registry.QUERIES) - set(registry.ORACLE) == set(checked)
 
 
 def test_entry(spark):

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from reviewlens.functions import parse_ts
 from reviewlens.operators.aggregates import tag_counts
 from reviewlens.plans.eda import clean_businesses
 from reviewlens.sources import (
     cut_lineage,
+    training_rows,
     export_counts,
     from_rows,
     read_counts,
@@ -65,3 +68,10 @@ def test_cut_lineage(spark, tmp_path):
     df = cut_lineage(spark.range(10).filter("id % 2 = 0"), str(tmp_path))
     assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.count() == 5
+
+
+def test_training_rows_follow_the_parameter_and_the_key(spark, tmp_path):
+    rows = training_rows(spark.range(1000).repartition(3), ["id"], 5, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 5 and rows.count() == 1000
+    where = lambda df: {r.id: r.p for r in df.withColumn("p", F.spark_partition_id()).collect()}
+    assert where(rows) == where(training_rows(spark.range(1000).repartition(7), ["id"], 5, str(tmp_path)))

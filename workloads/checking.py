@@ -8,7 +8,8 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
-_KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+_KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "timestamp_ntz": "TIMESTAMP"}
 
 
 def local_session() -> SparkSession:
@@ -47,9 +48,9 @@ def _ordered(rows: list[tuple]) -> list[tuple]:
 def problems(df: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> tuple[int, list[str]]:
     """Number of Spark rows, and every way in which the result differs from the SQL's."""
     types = {row[0]: row[1] for row in db.execute(f"DESCRIBE {sql}").fetchall()}
-    cols = sorted(df.columns)
-    if cols != sorted(types):
-        return 0, [f"columns {cols} against {sorted(types)}"]
+    cols = list(df.columns)
+    if cols != list(types):
+        return 0, [f"columns {cols} against {list(types)}"]
     found = [f"type of {c}: {t} against {types[c]}" for c, t in df.dtypes if _KINDS.get(t, t) != types[c]]
     got = _ordered([tuple(row) for row in df.select(*[f"`{c}`" for c in cols]).collect()])
     listed = ", ".join(f'"{c}"' for c in cols)

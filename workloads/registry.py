@@ -15,6 +15,7 @@ from reviewlens.functions import (
     human_format,
     item_count,
     open_status,
+    parse_ts,
     polarity,
     sentiment_code,
     sentiment_label,
@@ -28,7 +29,7 @@ from reviewlens.operators import ranking as rank
 from reviewlens.operators import reputation as rep
 from reviewlens.operators.features import NUMERIC_FEATURES, text_features, user_features
 from reviewlens.operators.joins import tip_counts
-from reviewlens.operators.model import add_class_weights, term_statistics
+from reviewlens.operators.model import add_class_weights, score_rows, term_statistics
 from reviewlens.operators.words import (
     NOISE_WORDS,
     STOP_WORDS,
@@ -119,7 +120,7 @@ def _(spark, sf):
 @query("distinct_combos", f"""
     SELECT count(*) AS n_distinct FROM (SELECT DISTINCT useful, funny, cool FROM ({st.REVIEWS}))""")
 def _(spark, sf):
-    return quality.distinct_count(st.line_reviews(spark, sf), ["useful", "funny", "cool"])
+    return quality.distinct_count(st.reviews(spark, sf), ["useful", "funny", "cool"])
 
 
 @query("distinct_stars", f"SELECT DISTINCT stars FROM ({st.REVIEWS})")
@@ -147,12 +148,12 @@ def _(spark, sf):
     f"""SELECT '{c}' AS "column", CAST(min({c}) AS VARCHAR) AS min FROM ({st.REVIEWS})"""
     for c in ("useful", "funny", "cool")))
 def _(spark, sf):
-    return quality.summarize(st.line_reviews(spark, sf), ["useful", "funny", "cool"], ("min",))
+    return quality.summarize(st.reviews(spark, sf), ["useful", "funny", "cool"], ("min",))
 
 
 @query("value_counts", f"SELECT useful, count(*) AS n FROM ({st.REVIEWS}) GROUP BY useful")
 def _(spark, sf):
-    return quality.value_counts(st.line_reviews(spark, sf), "useful")
+    return quality.value_counts(st.reviews(spark, sf), "useful")
 
 
 @query("valid_rate", f"""
@@ -160,7 +161,7 @@ def _(spark, sf):
            round((count(*) - count(sentiment_score)) / count(*) * 100, 2) AS invalid_pct
     FROM ({st.SCORED})""")
 def _(spark, sf):
-    return quality.valid_rate(st.scored_reviews(spark, sf), "sentiment_score")
+    return quality.valid_rate(st.scores(spark, sf), "sentiment_score")
 
 
 # ---------------------------------------------------------------- cleaning and imputation
@@ -170,7 +171,7 @@ def _(spark, sf):
     SELECT review_id, l_linenumber, CASE WHEN useful = -1 THEN 0 ELSE useful END AS useful,
            CASE WHEN funny = -1 THEN 0 ELSE funny END AS funny FROM ({st.REVIEWS})""")
 def _(spark, sf):
-    fixed = clean.replace_sentinel(st.line_reviews(spark, sf), ["useful", "funny"])
+    fixed = clean.replace_sentinel(st.reviews(spark, sf), ["useful", "funny"])
     return fixed.select("review_id", "l_linenumber", "useful", "funny")
 
 
@@ -324,12 +325,12 @@ _REVIEWED = f"""
 @query("top_reviewed_categories", _REVIEWED.replace("review_count", "reviews").replace(
     "AS reviews", "AS review_count").replace("ORDER BY reviews", "ORDER BY review_count"))
 def _(spark, sf):
-    return agg.reviews_by_category(st.line_reviews(spark, sf), shops(spark, sf))
+    return agg.reviews_by_category(st.reviews(spark, sf), shops(spark, sf))
 
 
 @query("top_reviewed_categories_sql", ORACLE["top_reviewed_categories"])
 def _(spark, sf):
-    register_views(spark, reviews=st.line_reviews(spark, sf), businesses=shops(spark, sf))
+    register_views(spark, reviews=st.reviews(spark, sf), businesses=shops(spark, sf))
     return agg.reviews_by_category_sql(spark)
 
 
@@ -385,9 +386,8 @@ def _(spark, sf):
     wide = ml.wide_table(spark, sf, st.reviews(spark, sf), ["review_id", "l_linenumber"])
     cols = ("review_id l_linenumber business_id user_id label review_length num_caps average_stars "
             "user_review_count fans user_activity user_engagement business_stars business_review_count "
-            "is_open state checkin_count user_tip_count business_tip_count year month").split()
-    wide = wide.select(*cols, F.size("categories").alias("n_categories"))
-    return rounded(wide, "average_stars")
+            "is_open state n_categories checkin_count user_tip_count business_tip_count year month").split()
+    return rounded(wide.withColumn("n_categories", F.size("categories")).select(*cols), "average_stars")
 
 
 # ---------------------------------------------------------------- aggregates
@@ -396,17 +396,34 @@ def _(spark, sf):
 @query("reviews_by_year", f"""
     SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS review_count FROM ({st.REVIEWS}) GROUP BY 1""")
 def _(spark, sf):
-    dated = date_parts(st.line_reviews(spark, sf), "date", ("year",))
+    dated = date_parts(st.reviews(spark, sf), "date", ("year",))
     return agg.group_count(dated, ["year"], "review_count").orderBy("year")
 
 
 @query("reviews_by_month", f"""
     SELECT CAST(month(date) AS INTEGER) AS month, count(*) AS n FROM ({st.REVIEWS}) GROUP BY 1""")
 def _(spark, sf):
-    dated = date_parts(st.line_reviews(spark, sf), "date", ("month",))
+    dated = date_parts(st.reviews(spark, sf), "date", ("month",))
     return agg.group_count(dated, ["month"]).orderBy("month")
 
 
+# Dates as text: one in eleven is not a date, one in thirteen is empty, one in seventeen has no time of day.
+_DATE_TEXT = """CASE WHEN event_id % 11 = 0 THEN 'not a date' WHEN event_id % 13 = 0 THEN ''
+                     WHEN event_id % 17 = 0 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END"""
+
+
+@query("parse_dates", f"""
+    SELECT event_id, try_cast({_DATE_TEXT} AS TIMESTAMP) AS date FROM events""")
+def _(spark, sf):
+    number, ts = F.col("event_id"), F.col("ts")
+    text = (
+        F.when(number % 11 == 0, "not a date").when(number % 13 == 0, "")
+        .when(number % 17 == 0, F.date_format(ts, "yyyy-MM-dd")).otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+    )
+    return parse_ts(st.table(spark, sf, "events").select("event_id", text.alias("date")), "date").withColumn(
+        "date", F.col("date").cast("timestamp_ntz"))
+
+
 @query("events_by_hour", "SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n FROM events GROUP BY 1")
 def _(spark, sf):
     dated = date_parts(st.table(spark, sf, "events"), "ts", ("hour",))
@@ -572,10 +589,15 @@ for _name, _dir, _pick in (("topk_business_words", "DESC", rank.top_businesses),
         return words_for_businesses(st.text_reviews(spark, sf), pick(shop, "Hardware", 5))
 
 
+# Empty tokens at the end do not count; text of white space alone has none, empty or missing text has one.
+_TOKENS = r"""CASE WHEN text <> '' AND regexp_matches(text, '^\s+$') THEN CAST([] AS VARCHAR[])
+                   ELSE regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '\s+$', ''), '\s') END"""
+
+
 @query("token_counts", rf"""
     SELECT doc_id, CAST(len(words) AS INTEGER) AS n_tokens,
            CAST(len(list_filter(words, lambda w: w NOT IN ({quoted(STOP_WORDS)}))) AS INTEGER) AS n_kept
-    FROM (SELECT doc_id, regexp_split_to_array(lower(text), '\s') AS words FROM documents)""")
+    FROM (SELECT doc_id, {_TOKENS} AS words FROM documents)""")
 def _(spark, sf):
     docs = remove_stopwords(tokenize(st.table(spark, sf, "documents")))
     return docs.select("doc_id", F.size("raw_words").alias("n_tokens"), F.size("filtered_words").alias("n_kept"))
@@ -586,8 +608,7 @@ def _(spark, sf):
            CASE WHEN count(DISTINCT doc_id) >= 5
                 THEN round(ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(DISTINCT doc_id) + 1.0::DOUBLE)), 6)
                 ELSE 0.0::DOUBLE END AS idf
-    FROM (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(lower(text), '\s+$', ''), '\s')) AS term
-          FROM documents)
+    FROM (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents)
     WHERE term NOT IN ({quoted(STOP_WORDS)}) GROUP BY term""")
 def _(spark, sf):
     return rounded(term_statistics(st.table(spark, sf, "documents")), "idf")
@@ -619,14 +640,14 @@ def _(spark, sf):
 @query("sample_frac", f"""
     SELECT {', '.join(_KEY)} FROM ({st.REVIEWS}) WHERE {_uniform('sample', 42, *_KEY)} < 0.02::DOUBLE""")
 def _(spark, sf):
-    return sampling.sample_fraction(st.line_reviews(spark, sf).select(*_KEY), 0.02, 42, _KEY)
+    return sampling.sample_fraction(st.reviews(spark, sf).select(*_KEY), 0.02, 42, _KEY)
 
 
 @query("train_test_split", f"""
     SELECT {', '.join(_KEY)}, CASE WHEN {_uniform('split', 25, *_KEY)} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part
     FROM ({st.REVIEWS})""")
 def _(spark, sf):
-    rows = st.line_reviews(spark, sf).select(*_KEY)
+    rows = st.reviews(spark, sf).select(*_KEY)
     train, test = sampling.split(rows, [0.8, 0.2], 25, _KEY)
     return sampling.union_all(train.withColumn("part", F.lit("train")), test.withColumn("part", F.lit("test")))
 
@@ -637,7 +658,7 @@ def _(spark, sf):
 def _(spark, sf):
     weighted = add_class_weights(st.predictions(spark, sf))
     groups = weighted.groupBy("label", F.round("classWeight", 6).alias("weight"))
-    return groups.agg(F.count(F.lit(1)).alias("n"))
+    return groups.agg(F.count(F.lit(1)).alias("n")).select("label", "n", "weight")
 
 
 # ---------------------------------------------------------------- evaluation
@@ -699,10 +720,10 @@ def reputation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Ten digits: the mean of some dozen two-decimal scores can lie exactly between two six-digit numbers.
-_REP_COLS = ("business_id, total_reviews, round(avg_sentiment_score, 10) AS avg_sentiment_score, "
+_REP_COLS = ("business_id, array_to_string(categories, ', ') AS categories, total_reviews, round(avg_sentiment_score, 10) AS avg_sentiment_score, "
              "round(avg_pos_prob, 10) AS avg_pos_prob, round(avg_neg_prob, 10) AS avg_neg_prob, "
              "round(avg_label, 10) AS avg_label, n_positive, n_negative, avg_stars, is_open, state, "
-             "positive_pct, negative_pct, array_to_string(categories, ', ') AS categories")
+             "positive_pct, negative_pct")
 
 
 @query("business_reputation", f"SELECT {_REP_COLS} FROM ({_REPUTATION})")
@@ -749,7 +770,7 @@ for _name, _share, _dir in (("reputation_top", "positive_pct", "DESC"), ("reputa
           FROM ({st.SCORED}) WHERE sentiment_score IS NOT NULL AND year BETWEEN {YEARS[0]} AND {YEARS[1]}
           GROUP BY year HAVING count(*) >= {MIN_YEAR})""")
 def _(spark, sf):
-    table = rep.sentiment_by_year(st.scored_reviews(spark, sf), YEARS, MIN_YEAR, marked=(1998, 1999))
+    table = rep.sentiment_by_year(st.scores(spark, sf), YEARS, MIN_YEAR, marked=(1998, 1999))
     return rounded(table, "avg_sentiment", "avg_pos_prob", "mean_of_years")
 
 
@@ -818,6 +839,16 @@ _LABELLED = f"""
     LEFT JOIN (SELECT user_id, count(*) AS n FROM ({st.TIPS}) GROUP BY 1) ut USING (user_id)
     WHERE r.stars IS NOT NULL"""
 
+# Undersampled to the size of the middle class by a hash of the review, as the models' rows are.
+_BALANCED = f"""
+    WITH rows AS (SELECT *, CASE WHEN stars <= 2 THEN 0 WHEN stars = 3 THEN 1 ELSE 2 END AS label
+                  FROM ({_LABELLED.replace('SELECT r.review_id,', 'SELECT r.review_id, r.stars,')})),
+         sizes AS (SELECT label, count(*) AS n FROM rows GROUP BY label)
+    SELECT rows.* FROM rows JOIN sizes USING (label)
+    WHERE label = 1 OR {_uniform('balance', 42, 'review_id')}
+                       < least(1.0::DOUBLE, (SELECT n FROM sizes WHERE label = 1)::DOUBLE / n)"""
+_TRAIN = f"SELECT * FROM ({_BALANCED}) WHERE {_uniform('split', 25, 'review_id')} < 0.8::DOUBLE"
+
 _TEXTS = _LABELLED.replace("WHERE r.stars IS NOT NULL", "").replace("SELECT r.review_id,", """
     SELECT r.stars, u.useful AS user_useful, u.funny AS user_funny, u.cool AS user_cool,
            CASE WHEN r.stars <= 2 THEN 0 WHEN r.stars = 3 THEN 1 ELSE 2 END AS label,""")
@@ -841,7 +872,7 @@ for _name, _cols in (
 
 
 @query("scalar_feature_scale", " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(stddev_samp(coalesce({c}, 0)), 6) AS stddev FROM ({_LABELLED})"
+    f"SELECT '{c}' AS feature, round(stddev_samp(coalesce({c}, 0)), 6) AS stddev FROM ({_TRAIN})"
     for c in NUMERIC_FEATURES))
 def _(spark, sf):
     fitted = ml.trained(spark, sf).pipeline.stages[-1].std.toArray()[-len(NUMERIC_FEATURES):]
@@ -850,8 +881,9 @@ def _(spark, sf):
 
 
 @query("category_vocabulary", f"""
-    SELECT tag FROM (SELECT DISTINCT review_id, unnest(string_split(categories, ', ')) AS tag FROM ({_LABELLED}))
-    GROUP BY tag HAVING count(*) >= 3""")
+    SELECT tag FROM (SELECT DISTINCT review_id, unnest(string_split(categories, ', ')) AS tag FROM ({_TRAIN}))
+    GROUP BY tag HAVING count(*) >= 3
+    ORDER BY count(*) DESC, tag LIMIT 200""")
 def _(spark, sf):
     vocabulary = ml.trained(spark, sf).pipeline.stages[4].vocabulary
     return from_rows(spark, [(tag,) for tag in vocabulary], "tag string")
@@ -862,18 +894,49 @@ def _(spark, sf):
 
 @query("feature_pipeline")
 def _(spark, sf):
-    entries = vector_to_array(F.col("features"))
+    parts = F.unwrap_udt("features")
     return ml.trained(spark, sf).features.select(
-        "review_id", "label", "classWeight", F.size(entries).alias("n_features"),
-        F.size(F.filter(entries, lambda v: v != 0)).alias("n_nonzero"),
+        "review_id", "label", "classWeight",
+        F.coalesce(parts["size"], F.size(parts["values"])).alias("n_features"),
+        F.size(F.filter(parts["values"], lambda v: v != 0)).alias("n_nonzero"),
     )
 
 
+@query("feature_names")
+def _(spark, sf):
+    names = ev.feature_names(ml.trained(spark, sf).pipeline)
+    return from_rows(spark, [(i, *pair) for i, pair in enumerate(names)], "position int, feature string, kind string")
+
+
+@query("training_split", f"""
+    SELECT review_id, label, CASE WHEN {_uniform('split', 25, 'review_id')} < 0.8::DOUBLE THEN 'train' ELSE 'test' END
+               AS part
+    FROM ({_BALANCED})""")
+def _(spark, sf):
+    train, test = ml.parts(spark, sf)
+    rows = [p.select("review_id", "label").withColumn("part", F.lit(n)) for n, p in (("train", train), ("test", test))]
+    return sampling.union_all(*rows)
+
+
+# Three texts as one would type them in, with the other features of the average review.
+_TYPED = ("the of and to in is that with for was", "loser stupid worthless garbage hate", "word | word | word")
+
+
+@query("score_given_rows")
+def _(spark, sf):
+    fit = ml.trained(spark, sf)
+    means = fit.rows.agg(*[F.avg(c).alias(c) for c in NUMERIC_FEATURES])
+    rows = means.select("*", F.explode(F.array(*map(F.lit, _TYPED))).alias("text"), F.array(F.lit("None")).alias("categories"))
+    scored = score_rows(fit.pipeline, fit.lr(), rows, 6)
+    return scored.select("text", "prediction", *[
+        F.get("probability", F.lit(c)).alias(f"probability_{c}") for c in ev.CLASSES])
+
+
 for _name in ("lr", "rf", "mlp"):
     @query(f"score_{_name}")
     def _(spark, sf, name=_name):
         rounded_probs = F.transform(vector_to_array(F.col("probability")), lambda p: F.round(p, 6))
-        scored = ml.labelled_predictions(spark, sf, name)
+        scored = ml.held_out_predictions(spark, sf, name)
         return scored.select("review_id", "label", "prediction", *[
             F.get(rounded_probs, F.lit(c)).alias(f"probability_{c}") for c in ev.CLASSES])
 
@@ -893,7 +956,7 @@ def _(spark, sf):
 @query("compare_models")
 def _(spark, sf):
     names = {"Logistic Regression": "lr", "Random Forest": "rf", "MLP": "mlp"}
-    return ev.compare_models({k: ml.labelled_predictions(spark, sf, v) for k, v in names.items()})
+    return ev.compare_models({k: ml.held_out_predictions(spark, sf, v) for k, v in names.items()})
 
 
 @query("lr_importance")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.functions import polarity, sentiment_code, split_list
+from reviewlens.functions import sentiment_code, split_list
 from reviewlens.operators.joins import hot_keys, skew_join
 
 # Sample rules: overlaps on purpose, since the last matching rule wins.
@@ -164,19 +164,11 @@ def checkins(spark: SparkSession, sf: str) -> DataFrame:
 CHECKINS = "SELECT doc_id AS business_id, text AS date FROM documents"
 
 
-def scored_reviews(spark: SparkSession, sf: str) -> DataFrame:
+def scores(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews with a made-up prediction and score; the score is missing on every seventh line number."""
-    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("business_id"))
-    about = businesses(spark, sf).select(
-        "business_id",
-        split_list(F.col("categories")).alias("categories"),
-        F.col("stars").alias("business_stars"),
-        "is_open",
-        "state",
-    )
     valid = F.col("l_linenumber") != 7
     pos = F.round(F.col("l_discount") * 10, 2)
-    rows = reviews(spark, sf).select(
+    return reviews(spark, sf).select(
         "review_id",
         "l_linenumber",
         "business_id",
@@ -189,8 +181,20 @@ def scored_reviews(spark: SparkSession, sf: str) -> DataFrame:
         F.when(valid, pos).alias("pos_prob"),
         F.when(valid, (1 - pos) / 2).alias("neg_prob"),
     ).withColumn("sentiment_score", F.col("pos_prob") - F.col("neg_prob"))
+
+
+def scored_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """`scores` with the columns of their business."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("business_id"))
+    about = businesses(spark, sf).select(
+        "business_id",
+        split_list(F.col("categories")).alias("categories"),
+        F.col("stars").alias("business_stars"),
+        "is_open",
+        "state",
+    )
     hot = hot_keys(lines, "business_id")
-    return skew_join(rows, about, "business_id", hot=hot, spread=["review_id", "l_linenumber"])
+    return skew_join(scores(spark, sf), about, "business_id", hot=hot, spread=["review_id", "l_linenumber"])
 
 
 SCORED = f"""
@@ -256,12 +260,6 @@ TEXT_REVIEWS = """
 """
 
 
-def labelled_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Sentiment of the documents that have a label."""
-    df = text_reviews(spark, sf).filter(F.col("stars").isNotNull())
-    return df.withColumns({"label": sentiment_code(F.col("stars")), "sentiment": polarity(F.col("stars"))})
-
-
 def text_businesses(spark: SparkSession, sf: str) -> DataFrame:
     """The businesses that documents review, with the number of their documents as review count."""
     counts = text_reviews(spark, sf).groupBy("business_id").agg(F.count(F.lit(1)).alias("review_count"))
