@@ -29,6 +29,9 @@ from reviewlens.llm.components import components
 
 @dataclass(frozen=True)
 class JaccardConfig:
+    """A block of a cluster has about `block` classes, and fewer where their sets together would have more than
+    `block_shingles` shingles, so a group fits a task however long the texts are."""
+
     words: int = 5
     threshold: float = 0.8
     values: int = 128
@@ -36,6 +39,7 @@ class JaccardConfig:
     step: int = 16
     tolerance: float = 1e-7
     block: int = 256
+    block_shingles: int = 1_000_000
 
 
 # ---------------------------------------------------------------- shingles and their MinHash values
@@ -45,7 +49,7 @@ class _WordHashes(dict):
     """The 64-bit hash of each word met, emptied when it holds too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         value = xxhash.xxh3_64_intdigest(word)
         if len(word) <= 64:
@@ -201,10 +205,11 @@ def _sketches(docs: DataFrame, cfg: JaccardConfig) -> DataFrame:
             sigs = [minhash(s, cfg.values).tobytes() if len(s) else None for s in sets]
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array([_print(s) if len(s) else None for s in sets], pa.binary()),
-                 pa.array(sigs, pa.binary())], names=["row", "key", "print", "sig"])
+                 pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary())],
+                names=["row", "key", "print", "n", "sig"])
 
     kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInArrow(run, f"row long, key {kind}, print binary, sig binary")
+    return docs.mapInArrow(run, f"row long, key {kind}, print binary, n long, sig binary")
 
 
 def _candidate_clusters(classes: DataFrame, cfg: JaccardConfig) -> DataFrame:
@@ -258,13 +263,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = stored(
         sketches.filter(F.col("print").isNotNull()).groupBy("print").agg(
             F.min("row").alias("rep"), F.min_by("key", "row").alias("key"), F.count(F.lit(1)).alias("copies"),
-            F.first("sig").alias("sig")), "classes")
+            F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
     clusters = _candidate_clusters(classes, cfg)
-    sizes = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / cfg.block).alias("blocks"))
+    found = classes.join(clusters.withColumnRenamed("node", "rep"), "rep")
+    full = F.greatest(F.count(F.lit(1)) / cfg.block, F.sum("n") / cfg.block_shingles)
+    sizes = found.groupBy("root").agg(F.ceil(full).alias("blocks"))
     wanted = stored(
-        classes.join(clusters.withColumnRenamed("node", "rep"), "rep").join(sizes, "root").withColumn(
-            "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "wanted")
-    bins = -(-wanted.count() // cfg.block) or 1
+        found.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "wanted")
+    bins = wanted.agg(F.ceil(full)).first()[0] or 1
 
     def with_sets(batches):
         """Shingles of the rows whose set is that of the class; a key may stand on rows with other texts too."""
