@@ -18,7 +18,7 @@ import numpy as np
 
 
 class ChunkTable:
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], max_entries: int = 500_000, max_key: int = 64):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], max_entries: int = 150_000, max_key: int = 64):
         self.encode, self.max_entries, self.max_key = encode, max_entries, max_key
         self.ids: dict[str, bytes] = {"": encode([""])[0]}
         self.before: dict[str, bytes] = {}
