@@ -122,12 +122,41 @@ def _(spark, sf):
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
 
 
-@query("op6_jaccard_join")
+def _linked(key: str, table: str, links: str, columns: str) -> str:
+    """SQL for the links and the reachable rows of a table, given its links (`a`, `b`, both ways) after a WITH."""
+    return f"""
+        {links}, reach AS (
+            SELECT {key} AS a, {key} AS b FROM {table}
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT {columns} FROM (SELECT a, min(b) AS least FROM reach GROUP BY a) r
+        LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l USING (a)"""
+
+
+@query("op6_jaccard_join", _linked("doc_id", "documents", r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x09-\x0D ]+'), lambda x: x <> '') AS ws
+        FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE
+              WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+              ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (g)
+              WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+              WHERE k >= 0.8 * (x.n + y.n - k) - 1e-9)""",
+    "a AS doc_id, least AS class_id, coalesce(n, 0) AS n_links, a = least AS kept"))
 def _(spark, sf):
     return jaccard.near_duplicates(read(spark, sf, "documents"))
 
 
-@query("op7_cover_tree")
+@query("op7_cover_tree", _linked("vec_id", "embeddings", """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y USING (label)
+              WHERE x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.98)""",
+    "a AS vec_id, coalesce(n, 0) AS n_links, least AS component_id, a = least AS kept"))
 def _(spark, sf):
     return covertree.near_vectors(read(spark, sf, "embeddings"))
 
