@@ -276,7 +276,8 @@ def pack(pieces: DataFrame, order: list[str], capacity: int, length: str = "leng
     schema = kept.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
     out = placed.select(*kept.columns, rank).mapInArrow(assign, schema)
     none = F.lit(None).cast("long")
-    return out.unionByName(rows.filter(~fits).withColumns({"sequence_id": none, "offset": none}))
+    return out.unionByName(rows.filter(~fits).withColumns({"sequence_id": none, "offset": none})).select(
+        *rows.columns, "sequence_id", "offset")
 
 
 def sequences(placed: DataFrame, ids: str = "ids") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,11 +26,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stored"
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has written; results that read them must be written first."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: computed once, and whole after a lost executor."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(nullable(df.schema)).parquet(path)
 
 
@@ -57,32 +68,3 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
-
-
-_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(),
-          "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
-
-
-def _to_arrow(ddl: str) -> pa.Schema:
-    fields = []
-    for part in ddl.split(", "):
-        name, kind = part.split(" ", 1)
-        inner = kind.removeprefix("array<").removesuffix(">")
-        fields.append(pa.field(name, pa.list_(_ARROW[inner]) if inner != kind else _ARROW[kind]))
-    return pa.schema(fields)
-
-
-def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list]]], ddl: str) -> DataFrame:
-    """Apply a function of record batches to `df`, slice by slice.
-
-    `make` is called once in each task and returns the function, which gives one list per output column.
-    `ddl` names the output columns as "name type, name type", with simple types or arrays of them.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, fn = _to_arrow(ddl), make()
-        for batch in slices(batches):
-            columns = fn(batch)
-            yield pa.record_batch([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
-
-    return df.mapInArrow(run, ddl)
