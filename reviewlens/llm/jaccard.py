@@ -297,14 +297,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     found = stored(_compared(placed.groupBy("g", "lo", "hi"), cfg), "found")
     linked = found.groupBy("rep").agg(F.sum("linked").alias("linked"))
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    whole = (
-        sketches.select("row", "key", "print")
-        .join(classes.select("print", "rep", "copies"), "print", "left")
+    of_class = (
+        classes.select("print", "rep", "copies")
         .join(linked, "rep", "left")
         .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("top", F.coalesce("root", "rep", F.col("row")))
     )
-    least = whole.groupBy("top").agg(F.min(F.struct("key", "row")).alias("least"))
+    whole = stored(
+        sketches.select("row", "key", "print").join(of_class, "print", "left").select(
+            "row", "key", "copies", "linked", F.coalesce("root", "rep", F.col("row")).alias("top")), "members")
+    # Stored, so that a class with very many rows is a skewed join that Spark can split, not part of an aggregate.
+    least = stored(whole.groupBy("top").agg(F.min(F.struct("key", "row")).alias("least")), "least")
     return whole.join(least, "top").select(
         F.col("key").alias(key),
         F.col("least.key").alias("class_id"),
