@@ -291,14 +291,16 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
         placed.groupBy(*spots, "lo", "hi", "inner").applyInArrow(run, "rep long, linked long, root long"), "found")
     linked = found.groupBy("rep").agg(F.sum("linked").alias("linked"))
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    whole = (
-        rows.select("row", "key", "label", "print")
-        .join(classes.select("label", "print", "rep", "copies"), ["label", "print"], "left")
+    of_class = (
+        classes.select("label", "print", "rep", "copies")
         .join(linked, "rep", "left")
         .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("top", F.coalesce("root", "rep", F.col("row")))
     )
-    least = whole.groupBy("top").agg(F.min("key").alias("least"))
+    whole = stored(
+        rows.select("row", "key", "label", "print").join(of_class, ["label", "print"], "left").select(
+            "row", "key", "copies", "linked", F.coalesce("root", "rep", F.col("row")).alias("top")), "members")
+    # Stored, so that a component with very many rows is a skewed join that Spark can split, not part of an aggregate.
+    least = stored(whole.groupBy("top").agg(F.min("key").alias("least")), "least")
     return whole.join(least, "top").select(
         F.col("key").alias(key),
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
