@@ -2,17 +2,21 @@
 
 Pages bring no labels. The teacher is their own markup: on pages with an article, a main part or a part named like
 one, what stands in it is text and what stands in navigation, headers, footers, asides, forms and parts with telling
-names is not. Each page teaches twice, once with tags and names hidden, so the trees also learn what text looks like by
-its density, its links, its place and its neighbours, and can judge pages without telling markup.
-
-A node's score is what the trees say and what its names say. Keeping a node is worth its score for the letters under it
-plus what its children are worth; a node is kept if that is positive and its parent is kept. So no text is kept inside
-a part that is dropped, and a part is dropped as a whole only if all of it together is not worth keeping.
+names is not. A part around the text (a form around the page, a layout "has-sidebar") says nothing of what is in it: the
+text in it stays text. Each page teaches several times: as it is; with tags and names hidden, so the trees also learn what
+text looks like by its density, its links, its place and its neighbours, and can judge pages without telling markup; with
+some of its text once more in a small part named like no text, beside the text and in it; and with its text, or all of it,
+inside a part named like no text. So the trees learn from the size of a part how far such a name is to be believed.
+
+A node's score is what the trees say, less a penalty for a tag or names of its own that tell of no text; the penalty is
+less than the trees can say, and what stands under the node has none. Keeping a node is worth its score for the letters
+under it plus what its children are worth; a node is kept if that is positive and its parent is kept. So no text is kept
+inside a part that is dropped, and a part is dropped as a whole only if all of it together is not worth keeping.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,7 @@ OTHER_NAMES = frozenset((
     "navigation newsletter notice notification overlay pager pagination popup promo promoted promotion rail recommended "
     "related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser "
     "toolbar topbar widget widgets").split())
+_NO_TEXT = frozenset({"sidebar"})  # the names of parts that lessons add
 TEXT_TAGS = frozenset({"article", "main"})
 OTHER_TAGS = frozenset("nav header footer aside form dialog menu search fieldset".split())
 
@@ -42,7 +47,8 @@ _GROUPS = (
     frozenset({"figure", "figcaption"}), TEXT_TAGS, frozenset({"section"}), OTHER_TAGS)
 _SHAPES = 18
 _TOLD = _SHAPES + 6  # the first feature that says what tags and names tell
-WIDTH = _SHAPES + len(_GROUPS) + 7
+WIDTH = _SHAPES + len(_GROUPS) + 9
+_SURE = 4.0  # what the trees say about a node counts no more than this
 _STOPS = frozenset(".,;:!?")
 
 
@@ -53,7 +59,7 @@ class PageConfig:
     fit_pages: int = 400
     trees: int = 20
     depth: int = 4
-    named: float = 3.0
+    named: float = 3.0  # what a node's own names weigh, below the 4 that the trees may say
     seed: int = 11
 
 
@@ -66,13 +72,16 @@ class Page:
     tree: Tree
     features: np.ndarray
     letters: np.ndarray  # of each node and all under it
-    told_text: np.ndarray
-    told_other: np.ndarray
+    other: np.ndarray  # the node's own tag or names tell of no text
+    label: np.ndarray  # a part with text by what tags and names tell
 
 
 def read_page(html: str | None) -> Page:
     """The tree of a page, the features of its nodes, and what its tags and names tell about each node."""
-    tree = parse(html, telling)
+    return page_of(parse(html, telling))
+
+
+def page_of(tree: Tree) -> Page:
     n = len(tree.tag)
     parent = np.array(tree.parent)
     own, stops, words = np.zeros(n), np.zeros(n), np.zeros(n)
@@ -119,13 +128,25 @@ def read_page(html: str | None) -> Page:
                      for t, names in zip(tree.tag, tree.names)])
     other = np.array([t in OTHER_TAGS or telling(names) for t, names in zip(tree.tag, tree.names)])
     comment = np.array([not names.isdisjoint(COMMENT_NAMES) for names in tree.names])
-    told_text, told_other = text.copy(), other.copy()
+    share = letters / max(letters[0], 1)
+    # A part that holds most of the page, and text by its names, is around the text and tells nothing of what is in it.
+    holds = text.copy()
+    for i in range(n - 1, 0, -1):
+        holds[parent[i]] |= holds[i]
+    around = other & ~comment & holds & (share >= 0.5)
+    told_text, told_other, label_other = text.copy(), other.copy(), other & ~around
+    nearest, close = np.where(other, share, 0), text & ~other
     for i in range(1, n):
-        told_text[i] |= told_text[parent[i]]
-        told_other[i] |= told_other[parent[i]]
-    told = [text, other, comment, told_text & ~text, told_other & ~other, told_text & ~told_other, told_other]
+        up = parent[i]
+        told_text[i] |= told_text[up]
+        told_other[i] |= told_other[up]
+        label_other[i] |= label_other[up]
+        if not other[i]:
+            nearest[i] = nearest[up]
+            close[i] |= close[up]
+    told = [text, other, comment, told_text & ~text, told_other & ~other, told_text & ~told_other, told_other, nearest, close]
     features = np.stack([*shapes, *groups, *(t.astype(float) for t in told)], axis=1)
-    return Page(tree, features, letters, told_text, told_other)
+    return Page(tree, features, letters, other, told_text & ~label_other)
 
 
 def hidden(features: np.ndarray) -> np.ndarray:
@@ -135,23 +156,90 @@ def hidden(features: np.ndarray) -> np.ndarray:
     return out
 
 
+def plain(tree: Tree) -> Tree:
+    """The tree with its telling tags and all names hidden."""
+    tags = ["div" if t in TEXT_TAGS or t in OTHER_TAGS else t for t in tree.tag]
+    return replace(tree, tag=tags, names=[frozenset()] * len(tags))
+
+
+def wrapped(tree: Tree, roots: list[int]) -> tuple[Tree, np.ndarray]:
+    """The tree with a part named like no text around each of these nodes, and the old number of every node (-1: new)."""
+    order: list[int] = []
+    heads, place = set(roots), {}
+    for i in range(len(tree.tag)):
+        if i in heads:
+            order.append(-1)
+        place[i] = len(order)
+        order.append(i)
+    parent = [-1 if i == 0 else place[i] - 1 if i in heads else place[tree.parent[i]] if i > 0 else 0 for i in order]
+    for i in heads:
+        parent[place[i] - 1] = place[tree.parent[i]]
+
+    def moved(values: list, new) -> list:
+        return [values[i] if i >= 0 else new for i in order]
+
+    parts = [(place[node] if node >= 0 else node, text) for node, text in tree.parts]
+    return Tree(moved(tree.tag, "div"), moved(tree.names, _NO_TEXT), parent, moved(tree.inside, 0),
+                moved(tree.linked, 0), parts), np.array(order)
+
+
+def one_wrapper(tree: Tree) -> tuple[Tree, np.ndarray]:
+    """As `wrapped`, with one part around all that the page holds."""
+    parts = [(node + 1 if node >= 0 else node, text) for node, text in tree.parts]
+    return Tree(["#root", "div", *tree.tag[1:]], [frozenset(), _NO_TEXT, *tree.names[1:]],
+                [-1, 0, *(p + 1 for p in tree.parent[1:])], [0, *tree.inside], [0, *tree.linked], parts), np.array(
+                    [0, -1, *range(1, len(tree.tag))])
+
+
+def with_copy(tree: Tree, nodes: list[int], under: int = 0) -> Tree:
+    """The tree with a part named like no text under a node that holds these nodes, whole subtrees, once more."""
+    n = len(tree.tag)
+    place = {i: n + 1 + k for k, i in enumerate(nodes)}
+    parts = [*tree.parts, (-1, ""), *((place[i], text) for i, text in tree.parts if i in place), (-1, "")]
+    return Tree(
+        [*tree.tag, "div", *(tree.tag[i] for i in nodes)], [*tree.names, _NO_TEXT, *(tree.names[i] for i in nodes)],
+        [*tree.parent, under, *(place.get(tree.parent[i], n) for i in nodes)], [*tree.inside, 0, *(tree.inside[i] for i in nodes)],
+        [*tree.linked, 0, *(tree.linked[i] for i in nodes)], parts)
+
+
 def lessons(page: Page) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the nodes with text, as marked up and with the markup hidden; none without a text part."""
+    """Features and labels of the nodes with text, in all the ways that a page teaches; none without a text part."""
     with_text = page.letters > 0
     with_text[0] = False
-    label = page.told_text & ~page.told_other
+    tree, label = page.tree, page.label
     # A node around the text part is neither: it holds the text and all else.
     around = np.zeros(len(label), dtype=bool)
     for i in np.flatnonzero(label).tolist():
-        up = page.tree.parent[i]
+        up = tree.parent[i]
         while up >= 0 and not label[up] and not around[up]:
             around[up] = True
-            up = page.tree.parent[up]
+            up = tree.parent[up]
     taken = with_text & ~around
     if not (label & taken).any():
         return np.zeros((0, WIDTH)), np.zeros(0)
-    features = page.features[taken]
-    return np.concatenate([features, hidden(features)]), np.tile(label[taken].astype(float), 2)
+    rows, labels = [page.features[taken], hidden(page.features[taken])], [label[taken], label[taken]]
+    # A small part with text like the page's own: parts of the text, up to a quarter of it.
+    roots = [i for i in np.flatnonzero(label).tolist() if not label[tree.parent[i]]]
+    copied: dict[int, None] = {}
+    left, whole = sum(page.letters[i] for i in roots) / 4, set(roots)
+    for i in range(1, len(label)):
+        if tree.parent[i] in copied:
+            copied[i] = None
+        elif label[i] and taken[i] and i not in whole and page.letters[i] <= left:
+            left -= page.letters[i]
+            copied[i] = None
+    added = 1 + len(copied) if copied else 0
+    taught, said = np.append(taken, np.ones(added, dtype=bool)), np.append(label, np.zeros(added, dtype=bool))
+    # That part beside the text and in it; all of this as it is, with a wrapper around the text, and with one around all.
+    for inner in (tree, plain(tree)):
+        for under in (0, roots[0]):
+            full = with_copy(inner, list(copied), under) if copied else inner
+            for outer, order in ((full, np.arange(len(said))), wrapped(full, roots), one_wrapper(full)):
+                old = np.maximum(order, 0)
+                kept = (order >= 0) & taught[old]
+                rows.append(page_of(outer).features[kept])
+                labels.append(said[old][kept])
+    return np.concatenate(rows), np.concatenate(labels).astype(float)
 
 
 # ---------------------------------------------------------------- boosted trees
@@ -168,9 +256,11 @@ class Boosted:
     value: np.ndarray = field(default_factory=lambda: np.zeros((0, 1)))
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
-        """Twice the margin, as the model defines its probability; 1 for every node if nothing was learned."""
+        """Twice the margin, as the model defines its probability. If nothing was learned, 1 for every node but those
+        in a part told to be no text that holds less than half of the page or is mostly links; -1 for these."""
         if not len(self.feature):
-            return np.ones(len(x))
+            other = (x[:, -3] > 0) & (x[:, -1] == 0)
+            return np.where(other & ((x[:, -2] < 0.5) | (x[:, 2] > 0.5)), -1.0, 1.0)
         total, rows = np.zeros(len(x)), np.arange(len(x))
         for feature, threshold, left, right, value in zip(
                 self.feature, self.threshold, self.left, self.right, self.value):
@@ -234,7 +324,7 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", cfg: PageCon
 def decode(page: Page, log_odds: np.ndarray, named: float) -> np.ndarray:
     """Which nodes to keep: the best choice in which every kept node's parent is kept."""
     tree = page.tree
-    score = np.clip(log_odds, -4, 4) - named * 2 * page.told_other
+    score = np.clip(log_odds, -_SURE, _SURE) - min(named, _SURE - 1) * page.other
     own = page.letters.copy()
     for i in range(len(own) - 1, 0, -1):
         own[tree.parent[i]] -= page.letters[i]

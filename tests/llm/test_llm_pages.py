@@ -47,6 +47,35 @@ def test_other_parts_go(spark, model):
     assert text(spark, model, html) == f'The "ship"\n{line}\nShe <the ship> was old, very old. {line}\n{line}'
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<form id=aspnetForm>", "</form>"), ("<div class='layout has-sidebar'>", "</div>"),
+    ("<main class='no-sidebar'>", "</main>"), ("<div class='post meta related'>", "</div>")])
+@pytest.mark.parametrize("inner", ["article", "div"])
+@pytest.mark.parametrize("all_of_it", [True, False])
+def test_the_text_stays_inside_a_wrapper_named_like_no_text(spark, model, start, end, inner, all_of_it):
+    links = "".join(f"<li><a href={k}>Link {k}</a></li>" for k in range(6))
+    line = (LOREM * 2).strip()
+    head = f"<nav><ul>{links}</ul></nav><div class=ad>Buy now.</div>"
+    body = f"<{inner}>" + f"<p>{line}</p>" * 6 + f"</{inner}>"
+    side = f"<div class=sidebar><p>{LOREM}</p></div><footer>(c) 2024</footer>"
+    html = f"{start}{head}{body}{side}{end}" if all_of_it else f"{head}{start}{body}{end}{side}"
+    assert text(spark, model, html) == "\n".join([line] * 6)
+
+
+def test_lessons_of_wrapped_pages():
+    page = pagetext.read_page(f"<form><nav>a</nav><article><p>{LOREM}</p><p>{LOREM}</p></article></form>")
+    assert page.label.tolist() == [False, False, False, True, True, True]
+    side = pagetext.read_page(f"<article><p>{LOREM * 4}</p></article><aside><article><p>{LOREM}</p></article></aside>")
+    assert side.label.tolist() == [False, True, True, False, False, False]
+    for inner in (page.tree, pagetext.plain(page.tree)):
+        outer, order = pagetext.wrapped(inner, [3])
+        assert order.tolist() == [0, 1, 2, -1, 3, 4, 5] and outer.parent == [-1, 0, 1, 1, 3, 4, 4]
+        whole, order = pagetext.one_wrapper(inner)
+        assert order.tolist() == [0, -1, 1, 2, 3, 4, 5] and whole.parent == [-1, 0, 1, 2, 2, 4, 4]
+    more = pagetext.with_copy(page.tree, [4])
+    assert more.parent == [-1, 0, 1, 1, 3, 3, 0, 6] and pagetext.page_of(more).letters[6] == len(LOREM)
+
+
 def test_a_page_without_telling_names(spark, model):
     links = "".join(f"<li><a href={k}>Link {k}</a></li>" for k in range(12))
     html = f"<div><ul>{links}</ul></div><div>" + f"<p>{LOREM * 3}</p>" * 5 + "</div>"
