@@ -168,9 +168,11 @@ def word_scores(words: Words, model: LangModel) -> np.ndarray:
 def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     """The language of each word with the highest sum of scores less a penalty for each change.
 
-    Leaving the language with the highest total for a run of words gains at most the largest rise of another's
-    cumulative lead. If no rise exceeds one penalty, the path that never changes is the best one, and no search is
-    needed; this decides nearly all texts.
+    The constant path in the language with the highest total is the best one, and no search is needed, if neither of
+    two ways to leave it gains. A run of words in another language, with that language somewhere else in the text,
+    gains at most the largest rise of another's cumulative lead and costs a penalty of its own. A path of k runs that
+    never uses that language pays k - 1 penalties, so its first and last run, a prefix and a suffix of the text, have
+    to bring more than one penalty between them. This decides most texts.
     """
     best = int(scores.sum(0).argmax())
     lead = np.cumsum(scores - scores[:, best : best + 1], axis=0)
@@ -178,7 +180,8 @@ def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     rise = np.maximum(lead[0], 0)
     if len(lead) > 1:
         rise = np.maximum(rise, (lead[1:] - lowest[:-1]).max(0))
-    if rise.max() <= penalty:
+    ends = lead.max(0).max() + (lead[-1] - lowest[-1]).max()
+    if rise.max() <= penalty and ends <= penalty:
         return np.full(len(scores), best)
     n, width = scores.shape
     came = np.empty((n, width), dtype=np.int32)

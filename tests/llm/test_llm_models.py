@@ -32,6 +32,23 @@ def test_best_path_equals_brute_force():
         assert value(langspans.best_path(s, penalty).tolist()) == pytest.approx(best)
 
 
+def test_two_languages_with_a_third_in_between():
+    scores = np.array([(0.0, -8.0, -3.0)] * 4 + [(-8.0, 0.0, -3.0)] * 4)
+    assert langspans.best_path(scores, 16.0).tolist() == [0] * 4 + [1] * 4
+    slow = np.array([(0.0, -0.8, -0.3)] * 40 + [(-0.8, 0.0, -0.3)] * 40)
+    assert langspans.best_path(slow, 16.0).tolist() == [0] * 40 + [1] * 40
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        s, penalty = -rng.exponential(2, (8, 3)).round(1), 6.0
+        s[:4, 0], s[4:, 1] = 0, 0
+
+        def value(path):
+            return sum(s[i, x] for i, x in enumerate(path)) - penalty * sum(a != b for a, b in zip(path, path[1:]))
+
+        best = max(value(p) for p in product(range(3), repeat=len(s)))
+        assert value(langspans.best_path(s, penalty).tolist()) == pytest.approx(best)
+
+
 def test_mixed_text_gets_spans(spark):
     docs = table("documents", TENTH)
     one = docs[docs.lang == "en"].text.iloc[0][:1500]
