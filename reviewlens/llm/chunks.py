@@ -59,13 +59,15 @@ _AT_ONCE = 2000
 def word_chunks(text: str) -> list[str]:
     """Chunks of a text for a word model that ignores case and white space: cut at spaces, line ends, before commas.
 
-    Case goes first where every letter has one simple lower case of its own.
+    Case goes first where every letter has one simple lower case of its own. It stays where a control string may stand:
+    these are looked up in the text as it is, so one in other letters is none.
     """
-    try:
-        text.encode("latin-1")
-        text = text.lower()
-    except UnicodeEncodeError:
-        pass
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
     if not _SIGN_RUN.search(text):
         text = text.replace(",", " ,").replace(".", " .")
     return text.replace("\n", " ").split(" ")

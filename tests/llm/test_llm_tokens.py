@@ -42,6 +42,14 @@ def test_chunk_tables_equal_the_libraries(model, tokenizer):
         e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_control_strings_in_other_letters_are_none(tokenizer):
+    texts = [f"{a}{c}{b}" for c in ("<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|StartOfText|>", "<|startoftext|>")
+             for a, b in (("", ""), ("A Word ", " Été, two."), ("Word", "Word"), ("Привет ", " Мир"))]
+    got = chunks.word_table(WORDS).join([chunks.word_chunks(t) for t in texts])
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<i4").tolist() for g in got] == want
+
+
 def test_a_table_that_overflows_gives_the_same(model):
     texts = strange(400, 2)
     small = chunks.ChunkTable(chunks.piece_table(PIECES)[0].encode, max_entries=50)
