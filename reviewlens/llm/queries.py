@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import binpack, brown, chat, covertree, crf, jaccard, langspans, pagetext, permindex, pieces
+from reviewlens.llm import (
+    binpack, brown, chat, covertree, crf, decontam, jaccard, langspans, pagetext, permindex, pieces)
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,3 +172,34 @@ def _(spark, sf):
     pages = read(spark, sf, "pages").select("page_id", "url", "html")
     texts = pagetext.main_text(pages, pagetext.fit(pages))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+_TEST_WORDS = r"""
+    WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+    bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark)"""
+
+
+@query("op13_decontaminate", f"""
+    {_TEST_WORDS},
+    items AS (SELECT item_id, ws, least(len(ws), 10) AS k, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i
+              FROM bw WHERE len(ws) > 0),
+    grams AS (SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS gram FROM items),
+    sizes AS (SELECT DISTINCT k FROM grams),
+    places AS (SELECT doc_id, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM dw, sizes WHERE len(ws) >= k),
+    hits AS (SELECT doc_id, i, p.k, item_id FROM places p
+             JOIN grams g ON p.k = g.k AND array_to_string(ws[i:i + p.k - 1], ' ') = g.gram),
+    hit_words AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM
+                  (SELECT doc_id, unnest(range(i, i + k)) AS w FROM hits) GROUP BY doc_id),
+    hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM
+                  (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""")
+def _(spark, sf):
+    found = decontam.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", decontam.hit_words(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
