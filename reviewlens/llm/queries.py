@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import (
-    binpack, brown, chat, covertree, crf, decontam, jaccard, langspans, pagetext, permindex, pieces)
+    binpack, brown, chat, covertree, crf, decontam, jaccard, langspans, pagetext, permindex, pieces, resample)
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +203,45 @@ def _(spark, sf):
         "doc_id", "n_words", decontam.hit_words(F.col("spans")).alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"))
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8 bytes; `steps.t` is the table of all bytes."""
+    digits = f"hex(encode({text}))"
+    codes = f"list_transform(range(1, length({digits}), 2), lambda i: CAST('0x' || {digits}[i:i + 1] AS BIGINT))"
+    folded = f"list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), " \
+             "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))"
+    return f"xor({folded}, 4294967295)"
+
+
+_CRC_STEPS = """
+    steps AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END)) AS t)"""
+
+
+@query("op12_importance_resampling", f"""
+    {_TEST_WORDS}, {_CRC_STEPS},
+    dc AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS w FROM dw) GROUP BY 1, 2),
+    bc AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM bw) GROUP BY 1),
+    hashed AS (SELECT w, {_crc32('w')} % 10000 AS bucket FROM (SELECT w FROM dc UNION SELECT w FROM bc), steps),
+    raw AS (SELECT bucket, sum(n) AS s FROM dc JOIN hashed USING (w) GROUP BY 1),
+    wanted AS (SELECT bucket, sum(n) AS t FROM bc JOIN hashed USING (w) GROUP BY 1),
+    sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM raw) AS sa, (SELECT coalesce(sum(t), 0) FROM wanted) AS ta),
+    gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST(sa AS DOUBLE) + 10000)
+                  / ((CAST(s AS DOUBLE) + 1) * (CAST(ta AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+              FROM raw LEFT JOIN wanted USING (bucket), sums),
+    weights AS (SELECT doc_id, CAST(sum(n * gain) AS BIGINT) AS weight
+                FROM dc JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY 1),
+    scored AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                      coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || sha256('2024:' || doc_id)[1:8]
+                          AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+               FROM dw LEFT JOIN weights USING (doc_id)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                      count(*) OVER (PARTITION BY n_features >= 20) AS able FROM scored)
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank FROM placed""")
+def _(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    model = resample.fit(docs, read(spark, sf, "benchmark"))
+    scored = resample.score(docs, model).drop("text")
+    return resample.draw(scored, model.cfg).select("doc_id", "n_features", "weight", "score", "rank")
