@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import (
-    binpack, brown, chat, covertree, crf, decontam, jaccard, langspans, pagetext, permindex, pieces, resample)
+    binpack, brown, chat, covertree, crf, decontam, jaccard, langspans, pagetext, permindex, pieces, resample, variants)
 from reviewlens.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +245,31 @@ def _(spark, sf):
     model = resample.fit(docs, read(spark, sf, "benchmark"))
     scored = resample.score(docs, model).drop("text")
     return resample.draw(scored, model.cfg).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op11_spelling_variants", f"""
+    WITH RECURSIVE {_CRC_STEPS.strip()},
+    runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]+')) AS w FROM documents),
+    counted AS (SELECT doc_id, w, count(*) AS c FROM runs WHERE length(w) >= 7 GROUP BY ALL),
+    hashed AS (SELECT w, c, {_crc32("doc_id || ':' || w")} AS h FROM counted, steps),
+    damaged AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c
+                FROM hashed),
+    v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+    cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+    pairs AS (SELECT x.word AS a, y.word AS b, y.n AS bn FROM cut x JOIN cut y USING (i, rest) WHERE x.word <> y.word
+              UNION SELECT x.word, y.word, y.n FROM cut x JOIN v y ON x.rest = y.word
+              UNION SELECT y.word, x.word, x.n FROM cut x JOIN v y ON x.rest = y.word),
+    near AS (SELECT a AS word, count(*) AS n_near, max(bn) AS most,
+                    first(b ORDER BY bn DESC, b) AS best FROM pairs GROUP BY a),
+    formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN best END AS form,
+                      CASE WHEN most >= 10 * n THEN most END AS form_n FROM v LEFT JOIN near USING (word)),
+    walk AS (SELECT word, word AS here, 0 AS step FROM formed
+             UNION ALL SELECT walk.word, form, step + 1 FROM walk JOIN formed ON walk.here = formed.word
+             WHERE form IS NOT NULL),
+    ends AS (SELECT word, arg_max(here, step) AS root FROM walk GROUP BY word)
+    SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)""")
+def _(spark, sf):
+    found = variants.spelling_variants(read(spark, sf, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
