@@ -205,3 +205,45 @@ def test_reputation_end_to_end(fitted, wide):
     assert corr.correlation is None and corr.n_used == 12
     assert sum(r.n_businesses for r in tables["open_closed"].collect()) == 12
     scored.unpersist()
+
+
+def test_models_as_tables(spark, tmp_path):
+    """Tables of small models score as the models do."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+
+    from reviewlens.operators import modeltables as tables
+
+    data = [(k, k % 3, Vectors.sparse(4, {k % 3: 1.0 + k, 3: 2.0}) if k % 2 else Vectors.dense([k % 3, 0.0, 1.0, k / 9.0]))
+            for k in range(60)]
+    df = spark.createDataFrame(data, ["id", "label", "features"]).withColumn("classWeight", F.lit(1.0))
+    lr = m.train_lr(df)
+    rows = tables.feature_rows(df, ["id"])
+    assert {(r.id, r.position): r.value for r in rows.collect()} == {
+        (k, i): float(v) for k, _, vector in data for i, v in enumerate(vector.toArray()) if v != 0}
+    got = {r.id: r for r in tables.linear_scores(rows, tables.linear_table(spark, lr), ["id"], 3).collect()}
+    for r in lr.transform(df).collect():
+        assert [got[r.id][f"probability_{c}"] for c in range(3)] == pytest.approx(list(r.probability), abs=1e-9)
+        assert got[r.id].prediction == r.prediction
+    mlp = MultilayerPerceptronClassifier(layers=[4, 5, 3], maxIter=5, seed=1).fit(df)
+    weights = {(r.layer, r.input, r.output): r.weight for r in tables.network_table(spark, mlp).collect()}
+    assert len(weights) == 4 * 5 + 5 + 5 * 3 + 3
+
+    def layer(n, values, n_out):
+        return [sum(v * weights[n, i, o] for i, v in enumerate(values)) + weights[n, -1, o] for o in range(n_out)]
+
+    for k, _, vector in data[:9]:
+        hidden = [1 / (1 + np.exp(-x)) for x in layer(0, vector.toArray(), 5)]
+        e = np.exp(layer(1, hidden, 3))
+        assert list(e / e.sum()) == pytest.approx(list(mlp.predictProbability(vector)), abs=1e-9)
+    rf = RandomForestClassifier(numTrees=4, maxDepth=3, seed=1).fit(df)
+    rf.write().overwrite().save(str(tmp_path / "rf"))
+    nodes = {(r.tree, r.node): r for r in tables.forest_table(spark, str(tmp_path / "rf")).collect()}
+    for k, _, vector in data:
+        votes = np.zeros(3)
+        for tree in range(4):
+            node = nodes[tree, 0]
+            while node.position is not None:
+                node = nodes[tree, node.left if vector[node.position] <= node.threshold else node.right]
+            votes += np.array(node.counts) / sum(node.counts)
+        assert list(votes / 4) == pytest.approx(list(rf.predictProbability(vector)), abs=1e-9)

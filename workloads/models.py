@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,10 @@ from reviewlens.operators.model import (
     train_rf,
     vector_size,
 )
+from reviewlens.operators.modeltables import feature_table as vector_table
+from reviewlens.operators.modeltables import forest_table, linear_table, network_table
 from reviewlens.plans.sentiment import TrainingConfig, training_sets
-from reviewlens.sources import cut_lineage, training_rows
+from reviewlens.sources import cut_lineage, save_models, training_rows
 from workloads import standins as st
 
 
@@ -47,6 +50,13 @@ def parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return training_sets(text_wide(spark, sf).filter(F.col("stars").isNotNull()), PLAN)
 
 
+def model_folder() -> str:
+    """The folder of the tables of the models fitted last, under the session's warehouse; SQL reads them from there."""
+    spark = SparkSession.getActiveSession()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir") if spark else os.path.abspath("spark-warehouse")
+    return warehouse.removeprefix("file:").rstrip("/") + "/_models"
+
+
 class Trained:
     """Fitted once per session and scale; each model is fitted when first asked for, on the training rows alone.
 
@@ -61,18 +71,31 @@ class Trained:
         self.pipeline = build_feature_pipeline(cfg).fit(self.rows)
         self.features = cut_lineage(featurize(self.pipeline, self.rows), folder)
         self.test = cut_lineage(featurize(self.pipeline, test), folder)
+        self.spark = spark
+        self._publish("feature", vector_table(spark, self.pipeline))
+
+    def _publish(self, name: str, table: DataFrame) -> None:
+        """Write a model's table for SQL; one file, since it is as small as the model."""
+        table.coalesce(1).write.mode("overwrite").parquet(f"{model_folder()}/{name}")
 
     @cache
     def lr(self):
-        return train_lr(self.features, self.cfg)
+        model = train_lr(self.features, self.cfg)
+        self._publish("linear", linear_table(self.spark, model))
+        return model
 
     @cache
     def rf(self):
-        return train_rf(self.features, self.cfg)
+        model = train_rf(self.features, self.cfg)
+        save_models({"rf": model}, model_folder())
+        self._publish("forest", forest_table(self.spark, f"{model_folder()}/rf_model"))
+        return model
 
     @cache
     def mlp(self):
-        return train_mlp(self.features, vector_size(self.pipeline), self.cfg)
+        model = train_mlp(self.features, vector_size(self.pipeline), self.cfg)
+        self._publish("network", network_table(self.spark, model))
+        return model
 
 
 _TRAINED: dict[tuple[str, str], Trained] = {}

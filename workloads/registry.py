@@ -24,6 +24,7 @@ from reviewlens.functions import (
 )
 from reviewlens.operators import aggregates as agg
 from reviewlens.operators import clean, quality, sampling
+from reviewlens.operators import modeltables as tables
 from reviewlens.operators import evaluate as ev
 from reviewlens.operators import ranking as rank
 from reviewlens.operators import reputation as rep
@@ -889,7 +890,7 @@ def _(spark, sf):
     return from_rows(spark, [(tag,) for tag in vocabulary], "tag string")
 
 
-# ---------------------------------------------------------------- models (no SQL form)
+# ---------------------------------------------------------------- models (SQL in model_sql.py)
 
 
 @query("feature_pipeline")
@@ -902,6 +903,22 @@ def _(spark, sf):
     )
 
 
+@query("feature_vectors")
+def _(spark, sf):
+    fit = ml.trained(spark, sf)
+    names = tables.feature_table(spark, fit.pipeline).drop("scale")
+    rows = tables.feature_rows(fit.features, ["review_id"]).join(names, "position")
+    return rows.select("review_id", "position", "feature", "kind", F.round("value", 6).alias("value"))
+
+
+@query("score_lr_by_table")
+def _(spark, sf):
+    fit = ml.trained(spark, sf)
+    weights = tables.linear_table(spark, fit.lr())
+    scored = tables.linear_scores(tables.feature_rows(fit.test, ["review_id"]), weights, ["review_id"], len(ev.CLASSES))
+    return rounded(scored, *[f"probability_{c}" for c in ev.CLASSES])
+
+
 @query("feature_names")
 def _(spark, sf):
     names = ev.feature_names(ml.trained(spark, sf).pipeline)
@@ -962,13 +979,13 @@ def _(spark, sf):
 @query("lr_importance")
 def _(spark, sf):
     fit = ml.trained(spark, sf)
-    return ev.lr_importance(spark, fit.pipeline, fit.lr())
+    return rounded(ev.lr_importance(spark, fit.pipeline, fit.lr()), "importance")
 
 
 @query("rf_importance")
 def _(spark, sf):
     fit = ml.trained(spark, sf)
-    return ev.rf_importance(spark, fit.pipeline, fit.rf())
+    return rounded(ev.rf_importance(spark, fit.pipeline, fit.rf()), "importance")
 
 
 for _name, _class in (("negative_drivers", 0), ("positive_drivers", 2)):
