@@ -118,11 +118,11 @@ def _held_out(model: str) -> str:
 def _metrics(model: str, name: str) -> str:
     return f"""
         SELECT '{name}' AS model, CAST(max(n) AS BIGINT) AS n_rows, round(sum(hit) / max(n), 4) AS accuracy,
-               round(sum(truth / n * coalesce(2 * (hit / said) * (hit / truth) / nullif(hit / said + hit / truth, 0), 0)), 4) AS f1,
-               round(sum(truth / n * coalesce(hit / said, 0)), 4) AS weighted_precision,
-               round(sum(truth / n * coalesce(hit / truth, 0)), 4) AS weighted_recall
+               round(sum(coalesce(truth / n * 2 * (hit / said) * (hit / truth) / nullif(hit / said + hit / truth, 0), 0)), 4) AS f1,
+               round(sum(coalesce(truth / n * (hit / said), 0)), 4) AS weighted_precision,
+               round(sum(coalesce(truth / n * (hit / truth), 0)), 4) AS weighted_recall
         FROM (SELECT c, CAST(count(*) FILTER (label = c AND prediction = c) AS DOUBLE) AS hit,
-                     CAST(count(*) FILTER (label = c) AS DOUBLE) AS truth,
+                     nullif(CAST(count(*) FILTER (label = c) AS DOUBLE), 0) AS truth,
                      nullif(CAST(count(*) FILTER (prediction = c) AS DOUBLE), 0) AS said, CAST(count(*) AS DOUBLE) AS n
               FROM ({_held_out(model)}), (SELECT unnest([0, 1, 2]) AS c) GROUP BY c)"""
 
