@@ -26,7 +26,8 @@ class IndexConfig:
     """`sample` vectors at most are read to choose the `pivots`; every vector is indexed.
 
     Of a vector the `prefix` nearest pivots are kept. `share` of each shard, and at least `least` vectors, are ranked
-    by true distance.
+    by true distance, with all that tie with the last of them, and all whose pivots come in nearly the query's order: those
+    that save `alike` of what an equal order saves. Of a large group of near copies the pivots can say no more.
     """
 
     pivots: int = 128
@@ -34,6 +35,7 @@ class IndexConfig:
     prefix: int = 64
     share: float = 0.2
     least: int = 400
+    alike: float = 0.9
     shard: int = 4096
     query_block: int = 2048
 
@@ -70,10 +72,12 @@ def search_shard(x: np.ndarray, near: np.ndarray, queries: np.ndarray, query_nea
     """For each query the rows of the shard nearest by true distance among the best by footrule, and the distances."""
     files, n = inverted_files(near, pivots), len(x)
     wanted = min(n, max(cfg.least, int(np.ceil(cfg.share * n))))
+    equal = near.shape[1] * (near.shape[1] + 1) / 2 if n else 0
     for query, own in zip(queries, query_near):
         if wanted < n:
             gain = footrule_gain(files, own, n)
-            rows = np.argpartition(-gain, wanted - 1)[:wanted]
+            last = np.partition(gain, n - wanted)[n - wanted]
+            rows = np.flatnonzero(gain >= min(last, cfg.alike * equal))
         else:
             rows = np.arange(n)
         away = np.sqrt(((x[rows] - query) ** 2).sum(1))
@@ -90,14 +94,17 @@ def search(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
 
     `score` is the Euclidean distance in double precision; ties go to the smaller key. A query's candidates are all
     rows but those with its own key. Vectors that are null, empty, zero or hold null or non-finite components take no
-    part, nor do rows with a null key or with another dimension than the most frequent one. Repeated keys are rows of
-    their own. With fewer than `k` candidates all are given; an empty table gives no rows.
+    part, nor do rows with a null key or with another dimension than the most frequent one. Rows that repeat both key
+    and vector are one row, as query and as candidate; a key with several vectors asks once for each of them and may be
+    given once for each. With fewer than `k` candidates all are given; an empty table gives no rows.
     """
     rows = table.select(
         F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
     ).filter(F.col("key").isNotNull() & vectors.usable(F.col("vector")))
-    rows = stored(rows.withColumn("print", vectors.fingerprint(F.col("vector"))), "vectors")
+    rows = rows.withColumn("print", vectors.fingerprint(F.col("vector"))).groupBy("key", "print").agg(
+        F.first("vector").alias("vector"), F.bool_or("is_query").alias("is_query"))
+    rows = stored(rows, "vectors")
     dimension = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
     if dimension is None:
         return _empty(table, key)
@@ -120,19 +127,20 @@ def search(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
         return df.mapInArrow(index, df.withColumn("near", F.lit(b"")).schema)
 
     entry = stored(indexed(one), "index")
-    asked = stored(indexed(rows.filter("is_query").select("key", "vector")), "queries")
+    asked = stored(indexed(rows.filter("is_query").select("key", "print", "vector")
+                            .withColumnRenamed("print", "asks")), "queries")
     shards = max(1, -(-entry.count() // cfg.shard))
     blocks = max(1, -(-asked.count() // cfg.query_block))
     shard = F.pmod(F.xxhash64("print"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("key", "asks"), F.lit(blocks)).cast("int")
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     no_key, no_print = F.lit(None).cast(asked.schema["key"].dataType), F.lit(None).cast(entry.schema["print"].dataType)
-    met = entry.select(shard.alias("shard"), every(blocks).alias("block"), no_key.alias("key"), "print", "vector", "near"
-                       ).unionByName(asked.select(every(shards).alias("shard"), block.alias("block"), "key",
-                                                  no_print.alias("print"), "vector", "near"))
+    met = entry.select(shard.alias("shard"), every(blocks).alias("block"), no_key.alias("key"), no_print.alias("asks"), "print",
+                       "vector", "near").unionByName(asked.select(every(shards).alias("shard"), block.alias("block"), "key",
+                                                  "asks", no_print.alias("print"), "vector", "near"))
     kind = asked.schema["key"].dataType.simpleString()
 
     def run(group: pa.Table) -> pa.Table:
@@ -150,16 +158,18 @@ def search(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
         none = [np.zeros(0, dtype=np.int64)]
         return pa.table({
             "query_id": group["key"].take(pa.array(np.concatenate(who or none))),
+            "asks": group["asks"].take(pa.array(np.concatenate(who or none))),
             "print": group["print"].take(pa.array(np.concatenate(what or none))),
             "score": pa.array(np.concatenate(away or none).astype(np.float64))})
 
-    shape = f"query_id {kind}, print {entry.schema['print'].dataType.simpleString()}, score double"
+    digest = entry.schema["print"].dataType.simpleString()
+    shape = f"query_id {kind}, asks {digest}, print {digest}, score double"
     found = met.groupBy("shard", "block").applyInArrow(run, shape)
     # Nearest entries first; their keys are joined to those that can still be among the first k.
-    nearest = Window.partitionBy("query_id").orderBy("score")
+    nearest = Window.partitionBy("query_id", "asks").orderBy("score")
     near = found.withColumn("nth", F.rank().over(nearest)).filter(F.col("nth") <= k + 1).drop("nth")
     pairs = near.join(keys, "print").filter(F.col("key") != F.col("query_id"))
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "key")))
+    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "asks").orderBy("score", "key")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", F.col("key").alias("vec_id"), "score")
 
 

@@ -166,3 +166,38 @@ def test_footrule_gain_is_the_footrule_distance():
         gain = permindex.footrule_gain(files, own, 30)
         true = np.array([np.abs(places(own) - places(v)).sum() for v in near])
         assert (k * (k + 1) - 2 * gain == true).all()
+
+
+def _nearest(rows, query, k=10):
+    """Brute force over distinct (key, vector) rows."""
+    own = [(float(np.sqrt(((np.array(v, dtype=np.float64) - np.array(query[1], dtype=np.float64)) ** 2).sum())), key)
+           for key, v in rows if key != query[0]]
+    return sorted(own)[:k]
+
+
+def test_repeated_queries_lose_nothing(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, tuple(rng.normal(size=8).astype(np.float32).tolist())) for k in range(300)]
+    repeated = rows + [rows[0]] * 11 + [rows[100]] * 2 + [(200, rows[201][1])] + [rows[7]] * 5
+    frame = spark.createDataFrame(repeated, "vec_id long, embedding array<float>")
+    got = permindex.search(frame, F.col("vec_id") % 100 == 0).collect()
+    distinct = sorted(set(repeated))
+    want = sorted((q[0], rank, key, round(away, 9)) for q in distinct if q[0] % 100 == 0
+                  for rank, (away, key) in enumerate(_nearest(distinct, q), 1))
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == want
+
+
+def test_recall_inside_a_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(9000, 32))
+    x[::3] = x[0] + rng.normal(size=(3000, 32)) * 1e-3
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in permindex.search(frame, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = {True: [], False: []}
+    for q in range(0, 9000, 100):
+        away = ((x - x[q]) ** 2).sum(1)
+        away[q] = np.inf
+        recall[q % 3 == 0].append(len(got[q] & set(np.argsort(away)[:10].tolist())) / 10)
+    assert np.mean(recall[True]) >= 0.9 and np.mean(recall[False]) >= 0.9
