@@ -11,7 +11,9 @@ inside a part named like no text. So the trees learn from the size of a part how
 A node's score is what the trees say, less a penalty for a tag or names of its own that tell of no text; the penalty is
 less than the trees can say, and what stands under the node has none. Keeping a node is worth its score for the letters
 under it plus what its children are worth; a node is kept if that is positive and its parent is kept. So no text is kept
-inside a part that is dropped, and a part is dropped as a whole only if all of it together is not worth keeping.
+inside a part that is dropped, and a part is dropped as a whole only if all of it together is not worth keeping. A part
+that is text by its own score and by what markup tells, but of which no block would be left, contradicts itself: then its
+own score decides, and all in it stays but what tells of no text.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ class PageConfig:
     """`fit_pages` bounds the pages that the trees learn from, taken by a hash of the page's key."""
 
     fit_pages: int = 400
-    trees: int = 20
+    trees: int = 32
     depth: int = 4
     named: float = 3.0  # what a node's own names weigh, below the 4 that the trees may say
     seed: int = 11
@@ -202,6 +204,26 @@ def with_copy(tree: Tree, nodes: list[int], under: int = 0) -> Tree:
         [*tree.linked, 0, *(tree.linked[i] for i in nodes)], parts)
 
 
+#: Shares of links that lessons put into the text's own parts, in turn; in the second way its last parts are all links.
+_LINK_SHARES = (0.0, 0.0, 0.1, 0.5, 0.25)
+_SOURCES = 5
+
+
+def with_links(tree: Tree, nodes: list[int], sources: bool) -> Tree:
+    """The tree with links in these nodes' own text: a share of each in turn, or all of the last fifth and little else."""
+    own = [0] * len(tree.tag)
+    for node, text in tree.parts:
+        if node >= 0:
+            own[node] += len(text)
+    linked, filled = list(tree.linked), [i for i in nodes if own[i]]
+    for k, i in enumerate(filled):
+        share = _LINK_SHARES[k % len(_LINK_SHARES)]
+        if sources:
+            share = 1.0 if k >= len(filled) - max(1, len(filled) // _SOURCES) else share / 2
+        linked[i] = max(linked[i], int(share * own[i]))
+    return replace(tree, linked=linked)
+
+
 def lessons(page: Page) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the nodes with text, in all the ways that a page teaches; none without a text part."""
     with_text = page.letters > 0
@@ -231,7 +253,12 @@ def lessons(page: Page) -> tuple[np.ndarray, np.ndarray]:
     added = 1 + len(copied) if copied else 0
     taught, said = np.append(taken, np.ones(added, dtype=bool)), np.append(label, np.zeros(added, dtype=bool))
     # That part beside the text and in it; all of this as it is, with a wrapper around the text, and with one around all.
+    said_text = np.flatnonzero(label).tolist()
     for inner in (tree, plain(tree)):
+        # Text has links too, up to whole parts of them where it names its sources.
+        for sources in (False, True):
+            rows.append(page_of(with_links(inner, said_text, sources)).features[taken])
+            labels.append(label[taken])
         for under in (0, roots[0]):
             full = with_copy(inner, list(copied), under) if copied else inner
             for outer, order in ((full, np.arange(len(said))), wrapped(full, roots), one_wrapper(full)):
@@ -339,7 +366,18 @@ def decode(page: Page, log_odds: np.ndarray, named: float) -> np.ndarray:
         kept[i] &= kept[tree.parent[i]]
     if score[0] <= 0:
         kept[0] = False
-    return kept
+    left = np.where(kept, own, 0)
+    for i in range(len(own) - 1, 0, -1):
+        left[tree.parent[i]] += left[i]
+    saved = np.zeros(len(kept), dtype=bool)
+    for i in range(1, len(kept)):
+        up = tree.parent[i]
+        top = page.label[i] and not page.label[up]
+        saved[i] = page.label[i] and (saved[up] or top and score[i] > 0 and left[i] == 0 and page.letters[i] > 0)
+        if saved[i] and top:
+            while up > 0:
+                kept[up], up = True, tree.parent[up]
+    return kept | saved
 
 
 def main_text(pages: DataFrame, model: Boosted, html: str = "html", out: str = "text",

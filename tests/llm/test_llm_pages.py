@@ -116,3 +116,37 @@ def test_nulls_long_pages_repeated_rows_and_clashing_columns(spark, model):
     assert pagetext.main_text(pages.filter("1 = 0"), nothing).collect() == []
     named = f"<nav>x</nav><p>{LOREM}</p>"
     assert text(spark, nothing, named) == LOREM.strip()
+
+
+LINKS = "".join(f"<li><a href={k}>Source number {k} of this text</a></li>" for k in range(8))
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_links_in_the_article_stay(spark, scale):
+    """Links in a paragraph, lists of sources, tables of links: all of the article comes out."""
+    fitted = pagetext.fit(spark.read.parquet(f"/root/testdata/{scale}/pages.parquet"))
+    line = LOREM.strip()
+    bodies = {
+        f"<h1>A title</h1><p>{LOREM}</p><p>{LOREM}</p><p>See <a>the first source</a>.</p>":
+            ["A title", line, line, "See the first source."],
+        f"<h1>A title</h1><p>{LOREM}</p><p>{LOREM}</p><ul>{LINKS}</ul>":
+            ["A title", line, line, *[f"Source number {k} of this text" for k in range(8)]],
+        f"<p>{LOREM}</p><p><a href=x>{LOREM}</a> {LOREM}</p><p>{LOREM}</p>": [line, f"{line} {line}", line],
+        f"<p>{LOREM}</p><table><tr><td><a href=1>One name</a></td><td><a href=2>Two names</a></td></tr></table><p>{LOREM}</p>":
+            [line, "One name Two names", line],
+    }
+    nav = "<nav><ul>" + "".join(f"<li><a href={k}>Page {k}</a></li>" for k in range(6)) + "</ul></nav>"
+    for body, want in bodies.items():
+        for head, foot in (("", ""), (nav, "<footer>(c) us</footer>")):
+            html = f"<body>{head}<article>{body}</article>{foot}</body>"
+            assert text(spark, fitted, html).replace("\n", " ") == " ".join(want)
+
+
+@pytest.mark.parametrize("odds", [-3.0, 3.0])
+def test_a_kept_article_never_loses_all_its_blocks(odds):
+    page = pagetext.read_page(f"<nav>x y</nav><div><article><p>{LOREM}</p><aside>Buy</aside><ul><li>a</li></ul></article></div>")
+    scores = np.array([2.0 if t == "article" else -3.0 for t in page.tree.tag])
+    scores[page.tree.tag.index("div")] = odds
+    kept = pagetext.decode(page, scores, 3.0)
+    said = dom.text_of(page.tree.parts, kept)
+    assert LOREM.strip() in said and "Buy" not in said and "x y" not in said
