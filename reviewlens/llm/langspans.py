@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,8 @@ class LangConfig:
 #: ASCII letters stay, all other ASCII is a gap.
 _GAPS = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 _BEYOND = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
-_NO_LETTER = re.compile(r"[\W\d_]")
+#: Letters are the categories L; marks (M) belong to the letter before them, and without one they are a gap.
+_NO_LETTER = regex.compile(r"[^\p{L}\p{M}]+\p{M}*|^\p{M}+")
 
 
 def letters(text: str | None) -> bytes:
@@ -199,16 +201,19 @@ def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def identify(docs: DataFrame, model: LangModel, text: str = "text", out: str = "lang_pred",
-             score: str = "lang_score", spans: str | None = "lang_spans") -> DataFrame:
+             score: str = "lang_score", spans: str | None = "lang_spans", certainty: str | None = None) -> DataFrame:
     """Add the language of each whole text, a score from 0 to 1, and its spans (`start`, `end`, `lang`).
 
     The language is that of the most letters; the score is their share, times how surely they are of it rather than
     of any other. Spans count bytes of the lower-case text in UTF-8. `und` with score 0 and no spans stands for a
     null text, one without letters, and any text if nothing was learned. Ties go to the first language by name. Other
-    columns stay; those named like the new ones are replaced. Pass `spans=None` to leave them out.
+    columns stay; those named like the new ones are replaced. Pass `spans=None` to leave them out. A name for `certainty`
+    adds how surely all languages found are the right ones, each weighed by its letters: a text in several languages
+    that are plain to see has a high one, though no language has a large share of it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = docs.drop(out, score, *([spans] if spans else []))
+    wanted = [out, score, *([spans] if spans else []), *([certainty] if certainty else [])]
+    rest = docs.drop(*wanted)
     columns, place = rest.columns, rest.columns.index(text)
 
     def run(batches):
@@ -219,12 +224,13 @@ def identify(docs: DataFrame, model: LangModel, text: str = "text", out: str = "
                                model.cfg.buckets)
             scores = word_scores(words, model)
             bounds = np.searchsorted(words.text, np.arange(batch.num_rows + 1))
-            langs, sure, found = [], [], []
+            langs, sure, found, certain = [], [], [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if a == b or not len(names):
                     langs.append(UNDETERMINED)
                     sure.append(0.0)
                     found.append([])
+                    certain.append(0.0)
                     continue
                 own, size = scores[a:b], words.size[a:b]
                 path = best_path(own, model.cfg.switch_penalty)
@@ -233,6 +239,9 @@ def identify(docs: DataFrame, model: LangModel, text: str = "text", out: str = "
                 total = own[path == top].sum(0)
                 langs.append(names[top])
                 sure.append(float(weight[top] / weight.sum() / np.exp(total - total[top]).sum()))
+                if certainty:
+                    totals = {k: own[path == k].sum(0) for k in np.flatnonzero(weight).tolist()}
+                    certain.append(float(sum(weight[k] / np.exp(t - t[k]).sum() for k, t in totals.items()) / weight.sum()))
                 edges = np.flatnonzero(np.diff(path)) + 1
                 if spans:
                     starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(path)]]) - 1
@@ -245,9 +254,13 @@ def identify(docs: DataFrame, model: LangModel, text: str = "text", out: str = "
             if spans:
                 kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
                 extra.append(pa.array(found, pa.list_(kind)))
-            yield pa.record_batch([*batch.columns, *extra], names=[*columns, out, score, *([spans] if spans else [])])
+            if certainty:
+                extra.append(pa.array(certain, pa.float64()))
+            yield pa.record_batch([*batch.columns, *extra], names=[*columns, *wanted])
 
     added = {out: F.lit("").cast("string"), score: F.lit(0.0)}
     if spans:
         added[spans] = F.lit(None).cast("array<struct<start:bigint,end:bigint,lang:string>>")
+    if certainty:
+        added[certainty] = F.lit(0.0)
     return rest.mapInArrow(run, rest.withColumns(added).schema)

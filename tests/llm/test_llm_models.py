@@ -164,3 +164,16 @@ def test_odd_and_empty_documents_quality(spark):
 def test_small_tables_run(spark):
     for name in ("op9_language_id", "op10_quality_crf"):
         assert contract.queries()[name](spark, SMALL).count() == len(table("documents"))
+
+
+def test_signs_are_no_letters_and_marks_belong_to_theirs(spark):
+    def words(text):
+        return [w.decode() for w in langspans.letters(text).split()]
+
+    assert words("½ ² ① Ⅷ _ 5") == [] and words("\u0301 \u0301\u0902 1\u0301") == []
+    assert words("नमस्ते दुनिया") == ["नमस्ते", "दुनिया"] and words("ที่นี่ x½y²") == ["ที่นี่", "x", "y"]
+    assert words("Cafe\u0301 É2b") == ["cafe\u0301", "é", "b"]
+    taught = spark.createDataFrame([(f"the word {k} and more", "en") for k in range(20)], "text string, lang string")
+    asked = spark.createDataFrame([("½ ² ①",), ("\u0301",), ("the word",)], "text string")
+    got = langspans.identify(asked, langspans.fit(taught), spans=None, certainty="sure").collect()
+    assert [(r.lang_pred, r.lang_score > 0, r.sure > 0) for r in got] == [("und", False, False)] * 2 + [("en", True, True)]
