@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from reviewlens.llm import binpack, crf, jaccard, langspans
 from reviewlens.llm.common import free_name, read, stored
 
-#: A document stays if the language of most of its letters is found at least this surely.
+#: A document stays if its languages, each weighed by its letters, are found at least this surely.
 LEAST_LANGUAGE = 0.35
 #: A document stays if it is at least this likely to be good.
 LEAST_QUALITY = 0.7
@@ -21,9 +21,9 @@ SEQUENCE_TOKENS, END_ID = 4096, 1
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; texts without letters or without a main language go."""
-    lang, sure = free_name(docs, "found_lang"), free_name(docs, "found_sure")
-    found = langspans.identify(docs, langspans.fit(docs), out=lang, score=sure, spans=None)
+    """Documents in a language that the labelled ones teach; texts without letters, or whose languages are doubtful, go."""
+    lang, score, sure = (free_name(docs, name) for name in ("found_lang", "found_score", "found_sure"))
+    found = langspans.identify(docs, langspans.fit(docs), out=lang, score=score, spans=None, certainty=sure)
     return found.filter((F.col(lang) != langspans.UNDETERMINED) & (F.col(sure) >= LEAST_LANGUAGE)).select(*docs.columns)
 
 
