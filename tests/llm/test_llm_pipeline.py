@@ -43,6 +43,18 @@ def test_odd_and_empty_documents(spark):
 
 def test_every_operator_is_registered():
     names = list(contract.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language id", "quality classifier", "n-gram Jaccard join", "best-fit packing"]
+
+
+def test_a_clean_text_in_several_languages_stays(spark):
+    """The language stage judges how sure all languages of a text are, not the share of the main one."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    parts = [r.text for lang in ("en", "fr", "de", "es") for r in docs.filter(f"lang = '{lang}' AND n_chars > 900").orderBy(
+        "doc_id").select("text").limit(1).collect()]
+    assert len(parts) >= 3
+    mixed = spark.createDataFrame([(10**6, "\n".join(p[:900] for p in parts), None, "s", 1)], docs.schema)
+    signs = spark.createDataFrame([(10**6 + 1, "\u00bd \u00b2 \u2460 " * 50, None, "s", 1)], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(mixed).unionByName(signs), SMALL)
+    assert [r.doc_id for r in kept.filter("doc_id >= 1000000").collect()] == [10**6]
