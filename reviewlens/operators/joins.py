@@ -65,6 +65,20 @@ def _spread(df: DataFrame, key: str) -> list[Column]:
     return [F.col(c) for c in simple if c != key]
 
 
+def with_piece(fact: DataFrame, key: str, hot: DataFrame, spread: list[str] | None, pieces: int) -> DataFrame:
+    """Add `_piece`: the sub-key of a row of a hot key or a null one, by a hash of the row, and 0 elsewhere."""
+    by = [F.col(c) for c in spread] if spread else _spread(fact, key)
+    width = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.col("_pieces"))
+    piece = F.when(width.isNotNull(), F.pmod(F.xxhash64(*by), width).cast("int")).otherwise(F.lit(0))
+    return fact.join(hot, key, "left").withColumn("_piece", piece).drop("_pieces")
+
+
+def repeat_rows(dim: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Each row of a hot key once for every `_piece` of the key, every other row once with piece 0."""
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
+    return dim.join(hot, key, "left").withColumn("_piece", F.explode(copies)).drop("_pieces")
+
+
 def skew_join(
     fact: DataFrame,
     dims: DataFrame | list[DataFrame],
@@ -90,14 +104,9 @@ def skew_join(
         raise ValueError("skew_join repeats dimension rows, so only left and inner joins are exact")
     pieces = pieces or default_pieces(fact.sparkSession)
     hot = F.broadcast(hot_keys(fact, key, pieces) if hot is None else hot)
-    by = [F.col(c) for c in spread] if spread else _spread(fact, key)
-    width = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.col("_pieces"))
-    piece = F.when(width.isNotNull(), F.pmod(F.xxhash64(*by), width).cast("int")).otherwise(F.lit(0))
-    joined = fact.join(hot, key, "left").withColumn("_piece", piece).drop("_pieces")
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
+    joined = with_piece(fact, key, hot, spread, pieces)
     for dim in dims if isinstance(dims, list) else [dims]:
-        repeated = dim.join(hot, key, "left").withColumn("_piece", F.explode(copies)).drop("_pieces")
-        joined = joined.join(repeated, [key, "_piece"], how)
+        joined = joined.join(repeat_rows(dim, key, hot), [key, "_piece"], how)
     return joined.drop("_piece")
 
 
@@ -111,6 +120,27 @@ def tip_counts(tips: DataFrame, key: str, out: str = "tip_count") -> DataFrame:
     return tips.groupBy(key).agg(F.count(F.lit(1)).alias(out))
 
 
+# Columns that reviews, businesses and users all have.
+_SHARED = ["review_count", "name", "stars", "useful", "funny", "cool"]
+
+
+def business_dimensions(business: DataFrame, checkin: DataFrame, tip: DataFrame) -> dict[str, DataFrame]:
+    """What joins a review by its business."""
+    return {
+        "business": prefix_columns(business, _SHARED, "business_"),
+        "checkin": checkin_counts(checkin),
+        "business_tip": tip_counts(tip, "business_id", "business_tip_count"),
+    }
+
+
+def user_dimensions(user: DataFrame, tip: DataFrame) -> dict[str, DataFrame]:
+    """What joins a review by its user."""
+    return {
+        "user": prefix_columns(user, _SHARED, "user_"),
+        "user_tip": tip_counts(tip, "user_id", "user_tip_count"),
+    }
+
+
 def build_wide(
     review: DataFrame,
     business: DataFrame,
@@ -125,16 +155,10 @@ def build_wide(
     are joined in one go and the two user-keyed ones in another, so that the reviews are shuffled at most
     twice. `spread` names review columns that tell apart reviews of one business (`review_id` if unique).
     """
-    clash = ["review_count", "name", "stars", "useful", "funny", "cool"]
-    of_business = [
-        prefix_columns(business, clash, "business_"),
-        checkin_counts(checkin),
-        tip_counts(tip, "business_id", "business_tip_count"),
-    ]
-    of_user = [prefix_columns(user, clash, "user_"), tip_counts(tip, "user_id", "user_tip_count")]
+    of_business, of_user = business_dimensions(business, checkin, tip), user_dimensions(user, tip)
     hot = hot_keys_together(review, ["business_id", "user_id"])
-    wide = skew_join(review, of_business, "business_id", hot=hot["business_id"], spread=spread)
-    return skew_join(wide, of_user, "user_id", hot=hot["user_id"], spread=spread)
+    wide = skew_join(review, list(of_business.values()), "business_id", hot=hot["business_id"], spread=spread)
+    return skew_join(wide, list(of_user.values()), "user_id", hot=hot["user_id"], spread=spread)
 
 
 def restrict_to_keys(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

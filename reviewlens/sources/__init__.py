@@ -1,3 +1,4 @@
+from reviewlens.sources.layout import Layout, store_star, wide_from_star
 from reviewlens.sources.lineage import cut_lineage, training_rows
 from reviewlens.sources.models import load_models, save_models
 from reviewlens.sources.tables import (
@@ -11,6 +12,7 @@ from reviewlens.sources.tables import (
 )
 
 __all__ = [
-    "cut_lineage", "export_counts", "from_rows", "load_models", "read_counts", "read_features",
-    "read_table", "register_views", "save_models", "training_rows", "write_features",
+    "Layout", "cut_lineage", "export_counts", "from_rows", "load_models", "read_counts", "read_features",
+    "read_table", "register_views", "save_models", "store_star", "training_rows",
+    "wide_from_star", "write_features",
 ]

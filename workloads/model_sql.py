@@ -145,7 +145,7 @@ def oracle_sql() -> dict[str, str]:
         "feature_vectors": f"""WITH {_vectors(_rows())}
             SELECT review_id, position, feature, kind, round(value, 6) AS value
             FROM vectors JOIN names USING (position) WHERE review_id IN (SELECT review_id FROM train)""",
-        **{f"score_{model}": _held_out(model) for model in _MODELS},
+        **{f"{how}_{model}": _held_out(model) for how in ("score", "reloaded") for model in _MODELS},
         "score_lr_by_table": _held_out("lr").replace("review_id, label,", "review_id,"),
         "compare_models": " UNION ALL ".join(
             _metrics(m, n) for m, n in (("lr", "Logistic Regression"), ("rf", "Random Forest"), ("mlp", "MLP"))),

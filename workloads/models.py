@@ -50,6 +50,12 @@ def parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return training_sets(text_wide(spark, sf).filter(F.col("stars").isNotNull()), PLAN)
 
 
+def shared_folder(spark: SparkSession, sf: str, name: str) -> str:
+    """A folder of this query and scale that every executor reaches: beside the checkpoints, or else in the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/_tables/{os.path.basename(sf.rstrip('/'))}/{name}"
+
+
 def model_folder() -> str:
     """The folder of the tables of the models fitted last, under the session's warehouse; SQL reads them from there."""
     spark = SparkSession.getActiveSession()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.functions import (
@@ -28,9 +28,9 @@ from reviewlens.operators import modeltables as tables
 from reviewlens.operators import evaluate as ev
 from reviewlens.operators import ranking as rank
 from reviewlens.operators import reputation as rep
-from reviewlens.operators.features import NUMERIC_FEATURES, text_features, user_features
+from reviewlens.operators.features import NUMERIC_FEATURES, feature_table, text_features, user_features
 from reviewlens.operators.joins import tip_counts
-from reviewlens.operators.model import add_class_weights, score_rows, term_statistics
+from reviewlens.operators.model import add_class_weights, featurize, score, score_rows, term_statistics
 from reviewlens.operators.words import (
     NOISE_WORDS,
     STOP_WORDS,
@@ -40,7 +40,20 @@ from reviewlens.operators.words import (
     words_for_businesses,
 )
 from reviewlens.plans.eda import clean_businesses
-from reviewlens.sources import from_rows, register_views
+from reviewlens.sources import (
+    Layout,
+    export_counts,
+    from_rows,
+    load_models,
+    read_counts,
+    read_features,
+    read_table,
+    register_views,
+    save_models,
+    store_star,
+    wide_from_star,
+    write_features,
+)
 from workloads import models as ml
 from workloads import standins as st
 
@@ -384,13 +397,98 @@ def _(spark, sf):
     LEFT JOIN (SELECT user_id, count(*) AS n FROM ({st.TIPS}) GROUP BY 1) ut USING (user_id)
     LEFT JOIN (SELECT business_id, count(*) AS n FROM ({st.TIPS}) GROUP BY 1) bt USING (business_id)""")
 def _(spark, sf):
-    wide = ml.wide_table(spark, sf, st.reviews(spark, sf), ["review_id", "l_linenumber"])
+    return wide_columns(ml.wide_table(spark, sf, st.reviews(spark, sf), LINE))
+
+
+LINE = ["review_id", "l_linenumber"]
+
+
+def wide_columns(wide: DataFrame) -> DataFrame:
     cols = ("review_id l_linenumber business_id user_id label review_length num_caps average_stars "
             "user_review_count fans user_activity user_engagement business_stars business_review_count "
             "is_open state n_categories checkin_count user_tip_count business_tip_count year month").split()
     return rounded(wide.withColumn("n_categories", F.size("categories")).select(*cols), "average_stars")
 
 
+@query("wide_features_stored", ORACLE["wide_features"])
+def _(spark, sf):
+    """The same rows from reviews and businesses that are stored by business first."""
+    layout = Layout(spark, ml.shared_folder(spark, sf, "star"), "star", "business_id", 8)
+    tagged = st.businesses(spark, sf).withColumn("categories", split_list(F.col("categories")))
+    tips = st.tips(spark, sf)
+    store_star(layout, st.reviews(spark, sf), tagged, st.checkins(spark, sf), tips, LINE)
+    return wide_columns(feature_table(wide_from_star(layout, st.users(spark, sf), tips, LINE)))
+
+
+# ---------------------------------------------------------------- reading and writing
+
+
+def _as_json(spark, sf, name: str, df: DataFrame) -> DataFrame:
+    """The rows written as JSON lines and read back under the table's fixed schema."""
+    folder = ml.shared_folder(spark, sf, f"{name}_json")
+    df.write.mode("overwrite").json(folder)
+    return read_table(spark, folder, name).select(*df.columns)
+
+
+def _text(*cols: str) -> list[Column]:
+    return [F.col(c).cast("string").alias(c) for c in cols]
+
+
+@query("read_reviews", f"""
+    SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(business_id AS VARCHAR) AS business_id,
+           CAST(user_id AS VARCHAR) AS user_id, stars, useful, funny, cool, text,
+           strftime(date, '%Y-%m-%d %H:%M:%S') AS date FROM ({st.REVIEWS})""")
+def _(spark, sf):
+    rows = st.reviews(spark, sf).select(
+        *_text("review_id", "business_id", "user_id"), "stars", "useful", "funny", "cool", "text",
+        F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"))
+    return _as_json(spark, sf, "review", rows)
+
+
+@query("read_businesses", f"""
+    SELECT CAST(business_id AS VARCHAR) AS business_id, {", ".join(_BUSINESS_COLS[1:])} FROM ({st.BUSINESSES})""")
+def _(spark, sf):
+    return _as_json(spark, sf, "business", st.businesses(spark, sf).select(*_text("business_id"), *_BUSINESS_COLS[1:]))
+
+
+@query("read_users", f"""
+    SELECT CAST(user_id AS VARCHAR) AS user_id, name, review_count, useful, funny, cool, fans, average_stars
+    FROM ({st.USERS})""")
+def _(spark, sf):
+    rows = st.users(spark, sf).select(
+        *_text("user_id"), "name", "review_count", "useful", "funny", "cool", "fans", "average_stars")
+    return _as_json(spark, sf, "user", rows)
+
+
+@query("read_checkins", f"SELECT CAST(business_id AS VARCHAR) AS business_id, date FROM ({st.CHECKINS})")
+def _(spark, sf):
+    return _as_json(spark, sf, "checkin", st.checkins(spark, sf).select(*_text("business_id"), "date"))
+
+
+@query("read_tips", f"""
+    SELECT CAST(business_id AS VARCHAR) AS business_id, CAST(user_id AS VARCHAR) AS user_id, text, compliment_count
+    FROM ({st.TIPS})""")
+def _(spark, sf):
+    rows = st.tips(spark, sf).select(*_text("business_id", "user_id"), "text", "compliment_count")
+    return _as_json(spark, sf, "tip", rows)
+
+
+@query("reloaded_features", ORACLE["wide_features"])
+def _(spark, sf):
+    """The wide table written as Parquet and reloaded."""
+    folder = ml.shared_folder(spark, sf, "wide")
+    write_features(ml.wide_table(spark, sf, st.reviews(spark, sf), LINE), folder)
+    return wide_columns(read_features(spark, folder))
+
+
+@query("exported_tag_counts", ORACLE["tag_counts"])
+def _(spark, sf):
+    """Tag counts exported as CSV with a header and read back."""
+    folder = ml.shared_folder(spark, sf, "tag_counts")
+    export_counts(agg.tag_counts(shops(spark, sf)), folder)
+    return read_counts(spark, folder, "category_word string, count bigint")
+
+
 # ---------------------------------------------------------------- aggregates
 
 
@@ -958,6 +1056,18 @@ for _name in ("lr", "rf", "mlp"):
             F.get(rounded_probs, F.lit(c)).alias(f"probability_{c}") for c in ev.CLASSES])
 
 
+    @query(f"reloaded_{_name}")
+    def _(spark, sf, name=_name):
+        """Held-out documents anew from their texts, by the feature pipeline and the model saved and loaded."""
+        fit, folder = ml.trained(spark, sf), ml.shared_folder(spark, sf, "models")
+        save_models({"features": fit.pipeline, name: getattr(fit, name)()}, folder)
+        loaded = load_models(folder, ("features", name))
+        rounded_probs = F.transform(vector_to_array(F.col("probability")), lambda p: F.round(p, 6))
+        scored = score(loaded[name], featurize(loaded["features"], ml.parts(spark, sf)[1]))
+        return scored.select("review_id", "label", "prediction", *[
+            F.get(rounded_probs, F.lit(c)).alias(f"probability_{c}") for c in ev.CLASSES])
+
+
 @query("sentiment_scores")
 def _(spark, sf):
     scored = ml.scored_texts(spark, sf)
