@@ -13,7 +13,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round links the larger neighbours of every node to its smallest one, then the smaller ones; a component is a
     star around its smallest node after a number of rounds that grows with the logarithm of its size. Every round is
-    written out, so its lineage is cut. Null ends and loops are dropped; no edges give no rows.
+    written out, so its lineage is cut. So is the smallest neighbour of each node before it meets the edges: of two
+    stored tables Spark can split the side on which a common node has very many edges. Null ends and loops are dropped;
+    no edges give no rows.
     """
     up, low = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     now = stored(edges.filter(F.col("a") != F.col("b")).select(up, low).distinct(), "edges")
@@ -31,11 +33,11 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
