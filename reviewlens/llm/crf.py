@@ -16,15 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import slices
+from reviewlens.llm.common import slices, stored
 
 
 @dataclass(frozen=True)
 class CrfConfig:
-    """`fit_documents` bounds the labelled documents that the field is fitted on, taken by a hash of their key;
-    `fit_lines` cuts their lines into chains for the fit. Scoring always runs over all lines of a text as one chain."""
+    """`fit_documents` bounds the labelled documents that the field is fitted on, taken by a hash of their key, and
+    `fit_total_lines` the lines of all of them; `fit_lines` cuts their lines into chains for the fit. Scoring always
+    runs over all lines of a text as one chain."""
 
     fit_documents: int = 6000
+    fit_total_lines: int = 200_000
     fit_lines: int = 48
     rounds: int = 3
     steps: int = 60
@@ -258,7 +260,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         cfg: CrfConfig = CrfConfig()) -> CrfModel:
     """Fit on at most `cfg.fit_documents` documents with a label of 0 or 1, taken by a hash of the key.
 
-    Their line features are made where their texts are, and only those reach the driver. Rows without a key or a label
+    Their line features are made where their texts are, and only those reach the driver, of at most
+    `cfg.fit_total_lines` lines: whole documents by hash, each that still has room. Rows without a key or a label
     teach nothing, and a key with several labels counts with its lowest. Without any labels every score is 0.5.
     """
     one = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias("good"))
@@ -276,8 +279,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 [batch.column(1), pa.array(packed, pa.binary()), pa.array(sizes, pa.list_(pa.int64()))],
                 names=["good", "own", "sizes"])
 
-    found = rows.mapInArrow(run, "good long, own binary, sizes array<long>")
-    table = found.orderBy(F.xxhash64("own", "good")).limit(cfg.fit_documents).toArrow()  # a key may stand on many rows
+    found = rows.mapInArrow(run, "good long, own binary, sizes array<long>").select(
+        "*", F.xxhash64("own", "good").alias("place"), F.size("sizes").alias("lines"))
+    found = stored(found.orderBy("place").limit(cfg.fit_documents), "lines")  # a key may stand on many rows
+    room, kept = cfg.fit_total_lines, []
+    for place, lines, rows_alike in sorted(map(tuple, found.groupBy("place", "lines").count().collect())):
+        if lines * rows_alike <= room:  # two numbers a document, and `fit_documents` of them at most
+            room -= lines * rows_alike
+            kept.append((place, lines))
+    chosen = docs.sparkSession.createDataFrame(kept, "place long, lines int")
+    table = found.join(F.broadcast(chosen), ["place", "lines"]).select("good", "own", "sizes").toArrow()
     if not table.num_rows:
         return CrfModel()
     table = table.sort_by([("own", "ascending")])  # the order of rows must not matter
