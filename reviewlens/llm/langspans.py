@@ -45,6 +45,7 @@ class LangConfig:
     floor: float = -8.0
     switch_penalty: float = 16.0
     script_share: float = 0.01
+    most_languages: int = 512
 
 
 #: ASCII letters stay, all other ASCII is a gap.
@@ -114,9 +115,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", cfg: LangConfig
     """Trigram and script counts of every language, over all texts with a label (a null label teaches nothing).
 
     A task counts each language in an array, and only counts are shuffled: per language at most `buckets` and the
-    scripts, which is also what reaches the driver.
+    scripts, which is also what reaches the driver. So there may be `cfg.most_languages` different labels; more are an
+    error, since a column with more of them does not hold languages.
     """
     width = cfg.buckets + len(SCRIPTS)
+    labels = docs.filter(F.col(lang).isNotNull()).select(lang).distinct().limit(cfg.most_languages + 1).count()
+    if labels > cfg.most_languages:
+        raise ValueError(f"more than {cfg.most_languages} different values of {lang}: raise `most_languages` if it is right")
 
     def run(batches):
         counts: dict[str, np.ndarray] = {}

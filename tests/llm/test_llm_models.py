@@ -177,3 +177,24 @@ def test_signs_are_no_letters_and_marks_belong_to_theirs(spark):
     asked = spark.createDataFrame([("½ ² ①",), ("\u0301",), ("the word",)], "text string")
     got = langspans.identify(asked, langspans.fit(taught), spans=None, certainty="sure").collect()
     assert [(r.lang_pred, r.lang_score > 0, r.sure > 0) for r in got] == [("und", False, False)] * 2 + [("en", True, True)]
+
+
+def test_the_fit_is_bounded_by_lines(spark):
+    """Documents of very many lines leave room to others, and the same lines are taken whatever the order of rows."""
+    docs = spark.createDataFrame(
+        [(i, f"fine words of text {i}" if i % 2 else f"!! {i} ||") for i in range(40)]
+        + [(100 + i, f"a line of {i}\n" * 5000) for i in range(3)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "doc_id % 2 AS quality")
+    cfg = crf.CrfConfig(fit_total_lines=1000)
+    small = crf.fit(docs, labels, cfg=cfg)
+    again = crf.fit(docs.orderBy("text").repartition(5), labels, cfg=cfg)
+    without = crf.fit(docs.filter("doc_id < 100"), labels)
+    assert np.allclose(small.weights, without.weights) and np.allclose(small.weights, again.weights)
+    assert not crf.fit(docs, labels, cfg=crf.CrfConfig(fit_total_lines=0)).weights.any()
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = spark.createDataFrame([("some words", f"l{i}") for i in range(4)], "text string, lang string")
+    assert len(langspans.fit(docs, cfg=langspans.LangConfig(most_languages=4)).languages) == 4
+    with pytest.raises(ValueError):
+        langspans.fit(docs, cfg=langspans.LangConfig(most_languages=3))
