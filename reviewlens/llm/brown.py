@@ -5,11 +5,15 @@ P(text) is the product over its tokens, the closing end token among them, of
     P(class of token | class of token before) * P(token | its class).
 
 What grows with the corpus stays in Spark: the counts of all words are one table, and a text meets the counts of its
-rarer words in a join. The driver and the tasks hold only what is bounded by parameters: the `head` most frequent
-words with their counts, and the pair counts of the class vocabulary. That vocabulary has the `clustered` most
-frequent words one by one, and for all other words, seen or not, the `shapes` most frequent endings (the last two
-bytes) and one entry for any other ending. Exchange clustering gives each entry a class; a word has the class of its
-entry.
+rarer words in a join, and the pair counts of neighbouring entries are one table too. Entries are the `head` most
+frequent words, one by one, and for all other words, seen or not, the `shapes` most frequent endings (the last two
+bytes), one entry for any other ending, and the end.
+
+Exchange clustering has two steps. The `core` most frequent words and the endings are exchanged one by one on the
+driver, which needs their pair counts alone. Then rounds over the stored pairs move every other entry at once: tasks
+count the classes before and after each entry and move it to the class under which these are likeliest, the class
+pairs of the round before being given. A round that does not raise the likelihood of the whole table is undone and
+is the last. The driver and the tasks hold only what is bounded by parameters: the head, and one class for each entry.
 """
 
 from __future__ import annotations
@@ -36,10 +40,11 @@ _PAIRS_AT_ONCE = 2_000_000
 @dataclass(frozen=True)
 class BrownConfig:
     head: int = 65_536
-    clustered: int = 1024
+    core: int = 1024
     shapes: int = 128
     classes: int = 64
     sweeps: int = 8
+    rounds: int = 3
     context_weight: float = 50.0
 
 
@@ -49,8 +54,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def word_key(word: bytes) -> bytes:
-    """The word, or a 128-bit digest of one above `LONGEST` bytes: keys are short whatever the texts hold."""
-    return word if len(word) <= LONGEST else b"\0" + blake2b(word, digest_size=16).digest()
+    """The word, or a 128-bit digest and the ending of one above `LONGEST` bytes: keys are short whatever texts hold."""
+    return word if len(word) <= LONGEST else b"\0" + blake2b(word, digest_size=16).digest() + word[-2:]
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -137,58 +142,179 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
     return own
 
 
+def class_table(pairs: DataFrame, own: np.ndarray) -> np.ndarray:
+    """Counts of neighbouring classes, the pairs of entries being `pair` (first * entries + second) and `n`.
+
+    With the entries' own numbers as classes this is the whole pair table; tasks send one row for each pair of classes.
+    """
+    size, wide = len(own), int(own.max()) + 1
+    shared = pairs.sparkSession.sparkContext.broadcast(own.astype(np.int64))
+
+    def run(batches):
+        own, total = shared.value, np.zeros(wide * wide, dtype=np.int64)
+        for batch in batches:
+            pair, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            np.add.at(total, own[pair // size] * wide + own[pair % size], n)
+        keys = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(total[keys], pa.int64())], names=["pair", "n"])
+
+    found = pairs.select("pair", "n").mapInArrow(run, "pair long, n long")
+    found = found.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(wide * wide)
+    table[np.asarray(found["pair"])] = np.asarray(found["n"])
+    return table.reshape(wide, wide)
+
+
+def likelihood(table: np.ndarray) -> float:
+    """What the classes add to the log likelihood of the pairs: the mutual information of neighbours, times pairs."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def contexts(pairs: DataFrame, own: np.ndarray) -> DataFrame:
+    """`entry`, `seen`: how often each class comes after an entry (slot: the class) and before it (slot: K + class).
+
+    An entry has at most two slots a class, so no group is large, however frequent a word is.
+    """
+    size, wide = len(own), int(own.max()) + 1
+    shared = pairs.sparkSession.sparkContext.broadcast(own.astype(np.int64))
+
+    def run(batches):
+        own, waiting, held = shared.value, [], 0
+
+        def rows():
+            keys, n = (np.concatenate(part) for part in zip(*waiting))
+            waiting.clear()
+            keys, at = np.unique(keys, return_inverse=True)
+            n = np.bincount(at, weights=n).astype(np.int64)
+            slots = 2 * wide
+            return pa.record_batch([pa.array(keys // slots, pa.int32()), pa.array(keys % slots, pa.int32()), pa.array(n)],
+                                   names=["entry", "slot", "n"])
+
+        for batch in batches:
+            pair, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            first, second = pair // size, pair % size
+            waiting += [(first * 2 * wide + own[second], n), ((second * 2 + 1) * wide + own[first], n)]
+            held += len(pair)
+            if held > _PAIRS_AT_ONCE:
+                held = 0
+                yield rows()
+        if waiting:
+            yield rows()
+
+    found = pairs.select("pair", "n").mapInArrow(run, "entry int, slot int, n long")
+    summed = found.groupBy("entry", "slot").agg(F.sum("n").alias("n"))
+    return summed.groupBy("entry").agg(F.collect_list(F.struct("slot", "n")).alias("seen"))
+
+
+def best_classes(entries: np.ndarray, seen: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class of each of the `entries` under which its neighbours' classes, its row of `seen`, are likeliest.
+
+    The class pairs are given by `table`, from which an entry's own counts are taken before its old class is judged.
+    An entry stays where no class is better; of equally good ones it goes to the first. The end's class takes none.
+    """
+    wide = len(table)
+    after, before, old = seen[:, :wide], seen[:, wide:], own[entries]
+    n_after, n_before = after.sum(1), before.sum(1)
+
+    def logs(x: np.ndarray) -> np.ndarray:
+        return np.log(np.maximum(x, 0) + ADDED)
+
+    rows, cols = table.sum(1), table.sum(0)
+    value = after @ logs(table).T + before @ logs(table)
+    value -= n_after[:, None] * logs(rows) + n_before[:, None] * logs(cols)
+    stay = (after * logs(table[old] - after)).sum(1) + (before * logs(table.T[old] - before)).sum(1)
+    stay -= n_after * logs(rows[old] - n_after) + n_before * logs(cols[old] - n_before)
+    value[np.arange(len(old)), old] = stay
+    best = np.argmax(value[:, : wide - 1], axis=1)
+    return np.where(value[np.arange(len(old)), best] > stay + 1e-9, best, old)
+
+
+def exchange_rounds(pairs: DataFrame, own: np.ndarray, fixed: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all entries and their pair table, after at most `rounds` in which all but `fixed` entries may move.
+
+    The `fixed` first entries and the last one, the end, stay. Tasks send one class for each entry that moves.
+    """
+    spark = pairs.sparkSession
+    table = class_table(pairs, own)
+    for _ in range(rounds):
+        shared, last = spark.sparkContext.broadcast((own, table)), len(own) - 1
+
+        def run(batches):
+            own, table = shared.value
+            for batch in slices(batches, 4096):
+                seen = batch.column(1)
+                flat = seen.flatten()
+                row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(seen.offsets)))
+                dense = np.zeros((batch.num_rows, 2 * len(table)))
+                dense[row, np.asarray(flat.field(0))] = np.asarray(flat.field(1))
+                entries = np.asarray(batch.column(0))
+                best = best_classes(entries, dense, own, table)
+                moved = (best != own[entries]) & (entries >= fixed) & (entries < last)
+                yield pa.record_batch([pa.array(entries[moved]), pa.array(best[moved], pa.int32())], names=["entry", "k"])
+
+        moves = contexts(pairs, own).mapInArrow(run, "entry int, k int").toArrow()  # one row an entry at most
+        if not moves.num_rows:
+            break
+        after = own.copy()
+        after[np.asarray(moves["entry"])] = np.asarray(moves["k"])
+        counted = class_table(pairs, after)
+        if likelihood(counted) <= likelihood(table):
+            break
+        own, table = after, counted
+    return own, table
+
+
 @dataclass
 class BrownModel:
-    """Counts of all words as a table; of the head, the classes and their probabilities as arrays."""
+    """Counts of all words as a table; of the head, the classes and their probabilities as arrays.
+
+    `own` has the class of each entry: the head in its order, the endings, any other ending, the end.
+    """
 
     counts: DataFrame
     tokens: int
     types: int
     head: dict[bytes, int]
     head_count: np.ndarray
-    head_entry: np.ndarray
     shapes: dict[bytes, int]
     own: np.ndarray
     move: np.ndarray
     spread: np.ndarray
 
 
-def _entries(head: list[tuple[bytes, int]], cfg: BrownConfig) -> tuple[np.ndarray, dict[bytes, int]]:
-    """The class-vocabulary entry of each head word, and of each ending that has one; the other endings' is last."""
-    ahead, rest = head[: cfg.clustered], head[cfg.clustered :]
+def _endings(head: list[tuple[bytes, int]], cfg: BrownConfig) -> list[bytes]:
+    """The most frequent endings of the head's words that are not in the core, ties in byte order."""
     endings: Counter[bytes] = Counter()
-    for word, n in rest:
+    for word, n in head[cfg.core :]:
         endings[word[-2:]] += n
-    ranked = sorted(endings, key=lambda e: (-endings[e], e))[: cfg.shapes]
-    shapes = {ending: len(ahead) + i for i, ending in enumerate(ranked)}
-    other = len(ahead) + len(ranked)
-    entry = [*range(len(ahead)), *(shapes.get(word[-2:], other) for word, _ in rest)]
-    return np.array(entry, dtype=np.int64), shapes
+    return sorted(endings, key=lambda e: (-endings[e], e))[: cfg.shapes]
 
 
-def _pair_counts(docs: DataFrame, lookup: dict[bytes, int], shapes: dict[bytes, int], size: int) -> np.ndarray:
-    """Counts of neighbouring class-vocabulary entries over the whole texts; the end stands on both sides of a text."""
+def _pair_counts(docs: DataFrame, head: dict[bytes, int], shapes: dict[bytes, int], size: int) -> DataFrame:
+    """`pair`, `n`: counts of neighbouring entries over the whole texts; the end stands on both sides of a text."""
     other, end = size - 2, size - 1
-    shared = docs.sparkSession.sparkContext.broadcast((lookup, shapes))
+    shared = docs.sparkSession.sparkContext.broadcast((head, shapes))
 
     def run(batches):
         entries, endings = shared.value
         waiting, held = [], 0
 
         def rows():
-            found = np.bincount(np.concatenate(waiting), minlength=0) if waiting else np.zeros(0, np.int64)
-            keys = np.flatnonzero(found)
+            keys, found = np.unique(np.concatenate(waiting), return_counts=True)
             waiting.clear()
-            return pa.record_batch([pa.array(keys, pa.int64()), pa.array(found[keys], pa.int64())], names=["pair", "n"])
+            return pa.record_batch([pa.array(keys, pa.int64()), pa.array(found, pa.int64())], names=["pair", "n"])
 
         for batch in slices(batches):
             line = [end]
             for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                line += [
-                    e if e is not None else endings.get(word_key(w)[-2:], other)
-                    for w, e in zip(words, map(entries.get, words))
-                ]
+                for w in words_of(text):
+                    e = entries.get(w)
+                    if e is None:
+                        key = word_key(w)
+                        e = entries.get(key)
+                        if e is None:
+                            e = endings.get(key[-2:], other)
+                    line.append(e)
                 line.append(end)
             ids = np.array(line, dtype=np.int64)
             waiting.append(ids[:-1] * size + ids[1:])
@@ -196,13 +322,11 @@ def _pair_counts(docs: DataFrame, lookup: dict[bytes, int], shapes: dict[bytes,
             if held > _PAIRS_AT_ONCE:
                 held = 0
                 yield rows()
-        yield rows()
+        if waiting:
+            yield rows()
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "pair long, n long")
-    table = found.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most size * size rows
-    pairs = np.zeros(size * size)
-    pairs[np.asarray(table["pair"])] = np.asarray(table["n"])
-    return pairs.reshape(size, size)
+    return found.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, text: str = "text", cfg: BrownConfig = BrownConfig()) -> BrownModel:
@@ -214,32 +338,36 @@ def fit(docs: DataFrame, text: str = "text", cfg: BrownConfig = BrownConfig()) -
     words = counts.filter(F.col("word") != END)
     top = words.orderBy(F.desc("c"), "word").limit(cfg.head).toArrow()
     head = [(w, int(n)) for w, n in zip(top["word"].to_pylist(), top["c"].to_pylist())]
-    entry, shapes = _entries(head, cfg)
-    ahead = min(cfg.clustered, len(head))
-    size = ahead + len(shapes) + 2
-    entry_of = {w: int(e) for (w, _), e in zip(head, entry)}
-    pairs = _pair_counts(docs, entry_of, shapes, size)
-    own = exchange(pairs, cfg.classes, cfg.sweeps)
-
-    # Distinct words of each class: the clustered ones, and the others by their ending.
+    ranked = _endings(head, cfg)
+    shapes = {ending: len(head) + i for i, ending in enumerate(ranked)}
+    size = len(head) + len(shapes) + 2
+    pairs = stored(_pair_counts(docs, {w: i for i, (w, _) in enumerate(head)}, shapes, size), "pairs")
+
+    # The core's entries: its words, the endings (of all other words, those of the head included), the end.
+    core = min(cfg.core, len(head))
+    small = core + len(shapes) + 2
+    to_core = np.array([
+        *range(core), *(shapes.get(w[-2:], size - 2) - len(head) + core for w, _ in head[core:]), *range(core, small)])
+    own = exchange(class_table(pairs, to_core), cfg.classes, cfg.sweeps)[to_core]
+    own, table = exchange_rounds(pairs, own, core, cfg.rounds)
+
+    # Distinct words of each class: those of the head, and the others by their ending.
     types_of = np.zeros(cfg.classes + 1)
-    np.add.at(types_of, own[:ahead], 1)
+    np.add.at(types_of, own[: len(head)], 1)
     types_of[cfg.classes] = 1
     ending = F.expr("CASE WHEN length(word) <= 2 THEN word ELSE substring(word, -2, 2) END")
-    by_ending = {r[0]: r[1] for r in words.groupBy(ending).count().collect()}  # two bytes: at most 65,793 rows
-    for word, _ in head[:ahead]:
+    by_ending = {bytes(r[0]): r[1] for r in words.groupBy(ending).count().collect()}  # two bytes: at most 65,793 rows
+    for word, _ in head:
         by_ending[word[-2:]] -= 1
     for e, n in by_ending.items():
-        types_of[own[shapes.get(bytes(e), size - 2)]] += n
+        types_of[own[shapes.get(e, size - 2)]] += n
 
-    table = np.zeros((cfg.classes + 1, cfg.classes + 1))
-    np.add.at(table, (own[:, None], own[None, :]), pairs)
     into = table.sum(0)
     share = (into + 1) / (into.sum() + len(into))
     move = (table + cfg.context_weight * share) / (table.sum(1, keepdims=True) + cfg.context_weight)
     return BrownModel(
         counts, int(tokens), int(types), {w: i for i, (w, _) in enumerate(head)},
-        np.array([n for _, n in head], dtype=np.float64), entry, shapes, own,
+        np.array([n for _, n in head], dtype=np.float64), shapes, own,
         np.log10(move), np.log10(into + ADDED * (types_of + 1)),
     )
 
@@ -258,7 +386,7 @@ def score(docs: DataFrame, model: BrownModel, keep: list[Column], text: str = "t
     end_count = end_count["c"] if end_count else 0
     shared = spark.sparkContext.broadcast((
         model.head, np.append(np.log10(model.head_count + ADDED), 0.0),
-        np.append(model.own[model.head_entry], 0).astype(np.int64),
+        np.append(model.own[: len(model.head)], 0).astype(np.int64),
         {e: int(model.own[i]) for e, i in model.shapes.items()}, int(model.own[other]), model.move, model.spread))
 
     def run(batches):

@@ -37,9 +37,14 @@ def test_base_scores_equal_brute_force(spark):
     assert out.score.sum() > out.base_score.sum() and len(got) == len(docs)
 
 
-def likelihood(pairs, own):
+def classes_of_pairs(pairs, own):
     table = np.zeros((own.max() + 1, own.max() + 1))
     np.add.at(table, (own[:, None], own[None, :]), pairs)
+    return table
+
+
+def likelihood(pairs, own):
+    table = classes_of_pairs(pairs, own)
     f = lambda x: (x[x > 0] * np.log(x[x > 0])).sum()
     return f(table) - f(table.sum(0)) - f(table.sum(1))
 
@@ -60,9 +65,92 @@ def test_exchange_finds_planted_classes_and_never_loses():
     assert (brown.exchange(np.zeros((1, 1)), k, 3) == [k]).all()
 
 
+def planted(n, k, seed):
+    rng = np.random.default_rng(seed)
+    truth = rng.integers(0, k, n)
+    rate = np.where(truth[None, :] == (truth[:, None] + 1) % k, 20.0, 0.3)
+    pairs = np.zeros((n + 1, n + 1), dtype=int)
+    pairs[:n, :n] = rng.poisson(rate)
+    return truth, pairs
+
+
+def test_rounds_move_all_other_words_to_their_planted_class(spark):
+    n, k, core = 300, 4, 60
+    truth, pairs = planted(n, k, 5)
+    at = np.argwhere(pairs)
+    rows = [(int(a * (n + 1) + b), int(pairs[a, b])) for a, b in at]
+    table = spark.createDataFrame(rows, "pair long, n long").repartition(3)
+    start = np.append(np.where(np.arange(n) < core, truth, np.arange(n) % k), k)
+    own, counted = brown.exchange_rounds(table, start, core, 5)
+    assert (own[:n] == truth).all() and own[n] == k
+    assert (counted == classes_of_pairs(pairs, own)).all()
+    assert (brown.class_table(table, np.arange(n + 1)) == pairs).all()
+    assert np.isclose(brown.likelihood(counted), likelihood(pairs, own))
+    # no round is allowed, or nothing can move: the classes stay
+    assert (brown.exchange_rounds(table, start, core, 0)[0] == start).all()
+    assert (brown.exchange_rounds(table, start, n, 3)[0] == start).all()
+
+
+def test_contexts_count_classes_on_both_sides(spark):
+    n, k = 30, 3
+    truth, pairs = planted(n, k, 8)
+    rows = [(int(a * (n + 1) + b), int(pairs[a, b])) for a, b in np.argwhere(pairs)]
+    own = np.append(truth, k)
+    got = np.zeros((n + 1, 2 * (k + 1)))
+    for row in brown.contexts(spark.createDataFrame(rows, "pair long, n long"), own).collect():
+        for slot, count in row.seen:
+            got[row.entry, slot] += count
+    hot = np.eye(k + 1)[own]
+    assert (got == np.hstack([pairs @ hot, pairs.T @ hot])).all()
+
+
+def test_all_words_of_the_head_are_clustered_and_raise_the_likelihood(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    few = brown.fit(docs, cfg=brown.BrownConfig(rounds=0))
+    more = brown.fit(docs)
+    assert len(more.own) == len(more.head) + len(more.shapes) + 2 and len(more.head) > 1024
+    moved = np.flatnonzero(few.own != more.own)
+    assert len(moved) > 0 and moved.min() >= 1024  # words beyond the core have classes of their own
+    by_ending = {}
+    for word, i in list(more.head.items())[1024:]:
+        by_ending.setdefault(word[-2:], set()).add(int(more.own[i]))
+    assert max(map(len, by_ending.values())) > 1
+
+
+def test_scores_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    learned = docs.filter("doc_id % 3 > 0")
+    model = brown.fit(learned, cfg=brown.BrownConfig(head=2000, core=100, shapes=20, classes=8))
+    count = {bytes(r.word): r.c for r in model.counts.collect()}
+
+    def own(word):
+        if word in model.head:
+            return int(model.own[model.head[word]])
+        return int(model.own[model.shapes.get(word[-2:], len(model.own) - 2)])
+
+    got = {r.doc_id: r.score for r in brown.score(docs, model, [F.col("doc_id")]).collect()}
+    for row in docs.collect():
+        before, want = int(model.own[-1]), 0.0
+        for word in [*brown.words_of(row.text), brown.END]:
+            key = brown.word_key(word)
+            k = int(model.own[-1]) if word == brown.END else own(key)
+            want += model.move[before, k] + math.log10(count.get(key, 0) + 0.1) - model.spread[k]
+            before = k
+        assert abs(got[row.doc_id] - want) < 1e-8 * abs(want)
+
+
+def test_a_long_word_keeps_its_ending_and_its_length_changes_no_class(spark):
+    assert brown.word_key(b"x" * 64 + b"ing")[-2:] == b"ng" and len(brown.word_key(b"x" * 10**6)) == 19
+    docs = spark.createDataFrame([(1, "a running b walking c " + "y" * 100 + "ing")], "doc_id long, text string")
+    model = brown.fit(docs, cfg=brown.BrownConfig(head=3, core=1, shapes=4, classes=2))
+    score = lambda n: brown.score(
+        spark.createDataFrame([(1, "a " + "z" * n + "ing")], "doc_id long, text string"), model, [F.col("doc_id")]).first()
+    assert score(61).score == score(62).score  # 64 and 65 bytes, both unknown
+
+
 def test_probabilities_sum_to_one(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    model = brown.fit(docs, cfg=brown.BrownConfig(head=3000, clustered=50, shapes=20, classes=8))
+    model = brown.fit(docs, cfg=brown.BrownConfig(head=3000, core=50, shapes=20, classes=8))
     assert np.allclose((10**model.move).sum(1), 1)
     mass = np.zeros(9)
     for row in model.counts.collect():
@@ -70,7 +158,7 @@ def test_probabilities_sum_to_one(spark):
         if word == brown.END:
             own = 8
         elif (i := model.head.get(word)) is not None:
-            own = model.own[model.head_entry[i]]
+            own = model.own[i]
         else:
             own = model.own[model.shapes.get(word[-2:], len(model.own) - 2)]
         mass[own] += (row.c + 0.1) / 10 ** model.spread[own]
@@ -82,7 +170,7 @@ def test_small_head_gives_the_same_base(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     keep = [F.col("doc_id")]
     wide = brown.score(docs, brown.fit(docs), keep).toPandas().sort_values("doc_id")
-    slim = brown.score(docs, brown.fit(docs, cfg=brown.BrownConfig(head=20, clustered=10, shapes=3)), keep)
+    slim = brown.score(docs, brown.fit(docs, cfg=brown.BrownConfig(head=20, core=10, shapes=3)), keep)
     slim = slim.toPandas().sort_values("doc_id")
     assert np.allclose(wide.base_score, slim.base_score) and (wide.n_known.values == slim.n_known.values).all()
 
