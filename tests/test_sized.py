@@ -1,4 +1,4 @@
-"""Large joins are dealt over parts by their rows."""
+"""Large joins are dealt over parts by their rows, and joins are not repeated to count keys."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import datetime
 
 import pytest
 
+from conftest import rows_of
 from reviewlens.operators import joins
 from workloads import standins as st
 
@@ -41,3 +42,11 @@ def test_parts_follow_the_rows(spark, folder, monkeypatch, table):
 
 def test_small_tables_are_left_to_spark(spark, folder):
     assert joins.row_parts(spark.read.parquet(f"{folder}/lineitem.parquet")) is None
+
+
+def test_hot_keys_need_no_join(spark, folder):
+    found = st.review_hot_keys(spark, folder)
+    together = joins.hot_keys_together(st.reviews(spark, folder), ["business_id", "user_id"])
+    for key in ("business_id", "user_id"):
+        assert {r[0] for r in found[key].collect()} == {r[0] for r in together[key].collect()}
+    assert rows_of(found["user_id"]) == rows_of(together["user_id"])
