@@ -1,4 +1,4 @@
-"""Large joins are dealt over parts by their rows, and joins are not repeated to count keys."""
+"""Large joins are dealt over parts by their rows, and joins are not repeated to count keys or classes."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ import datetime
 
 import pytest
 
-from conftest import rows_of
+from conftest import SMALL, rows_of
 from reviewlens.operators import joins
+from workloads import models
 from workloads import standins as st
 
 DAY = datetime.datetime(1997, 1, 1)
@@ -50,3 +51,20 @@ def test_hot_keys_need_no_join(spark, folder):
     for key in ("business_id", "user_id"):
         assert {r[0] for r in found[key].collect()} == {r[0] for r in together[key].collect()}
     assert rows_of(found["user_id"]) == rows_of(together["user_id"])
+
+
+def test_labelled_rows_are_joined_once(spark, monkeypatch):
+    joined = []
+    whole = models.text_wide
+    monkeypatch.setattr(models, "_LABELLED", {})
+    monkeypatch.setattr(models, "text_wide", lambda *given: joined.append(1) or whole(*given))
+    train, test = models.parts(spark, SMALL)
+    again = models.parts(spark, SMALL)
+    assert rows_of(train.select("review_id")) == rows_of(again[0].select("review_id"))
+    assert test.count() == again[1].count() and len(joined) == 1
+    assert "text" in train.columns and not any("Join" in line for line in _plan(models._LABELLED).splitlines())
+
+
+def _plan(kept) -> str:
+    (df,) = kept.values()
+    return df._jdf.queryExecution().executedPlan().toString()
