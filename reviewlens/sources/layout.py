@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlens.operators import joins
 from reviewlens.operators.joins import (
     business_dimensions,
     hot_keys,
+    hot_keys_scanned,
     repeat_rows,
+    row_parts,
     skew_join,
     user_dimensions,
     with_piece,
@@ -19,6 +23,15 @@ from reviewlens.operators.joins import (
 PIECE = "_piece"
 
 
+def row_buckets(df: DataFrame, least: int = 8) -> int:
+    """Buckets of at most `ROWS_PER_TASK` rows each to store `df` in, `least` or more.
+
+    Counts the rows, so `df` should be a stored table, where that reads no column. One task sorts a bucket whenever it is
+    written or joined, so a fixed number of buckets would make tasks spill once the table is large.
+    """
+    return max(least, math.ceil(df.count() / joins.ROWS_PER_TASK))
+
+
 @dataclass(frozen=True)
 class Layout:
     """A large table stored by (`key`, piece) in `buckets`, and under which names its dimensions are stored alike.
@@ -49,15 +62,19 @@ class Layout:
     def _hot(self) -> DataFrame:
         return F.broadcast(self.spark.read.parquet(self._path("hot")))
 
-    def store_fact(self, df: DataFrame, name: str, spread: list[str] | None = None) -> None:
+    def store_fact(
+        self, df: DataFrame, name: str, spread: list[str] | None = None, hot: DataFrame | None = None
+    ) -> None:
         """Store the large table, replacing an earlier one.
 
         A key that holds more than a bucket's share of the rows is spread over as many pieces as it fills buckets, by a
         hash of the row (of `spread`, by default of every simple column); null keys, which match nothing, are spread
         over all. There are fewer hot keys than buckets, and their pieces add up to less than twice as many. They are
-        stored beside the table: every dimension must be stored after it.
+        stored beside the table: every dimension must be stored after it. `hot` may hand in the hot keys for `buckets`
+        pieces found on a cheaper table, where `df` is a join that would run once more to count them.
         """
-        hot_keys(df, self.key, self.buckets).write.mode("overwrite").parquet(self._path("hot"))
+        hot = hot_keys(df, self.key, self.buckets) if hot is None else hot
+        hot.write.mode("overwrite").parquet(self._path("hot"))
         self._write(with_piece(df, self.key, self._hot(), spread, self.buckets), name)
 
     def store_dimension(self, df: DataFrame, name: str) -> None:
@@ -88,9 +105,10 @@ def store_star(
     checkin: DataFrame,
     tip: DataFrame,
     spread: list[str] | None = None,
+    hot: DataFrame | None = None,
 ) -> None:
-    """Store reviews and what joins them by their business; `layout.key` is `business_id`."""
-    layout.store_fact(review, "review", spread)
+    """Store reviews and what joins them by their business; `layout.key` is `business_id`. `hot` as in `store_fact`."""
+    layout.store_fact(review, "review", spread, hot)
     for name, dim in business_dimensions(business, checkin, tip).items():
         layout.store_dimension(dim, name)
 
@@ -98,5 +116,7 @@ def store_star(
 def wide_from_star(layout: Layout, user: DataFrame, tip: DataFrame, spread: list[str] | None = None) -> DataFrame:
     """The rows of `build_wide` from a stored star: the join by business moves no review, the one by user moves them once."""
     of_business = layout.join("review", ["business", "checkin", "business_tip"])
-    hot = hot_keys(layout.read("review"), "user_id")
-    return skew_join(of_business, list(user_dimensions(user, tip).values()), "user_id", hot=hot, spread=spread)
+    review = layout.read("review")
+    hot = hot_keys_scanned(review, "user_id")
+    dims, parts = list(user_dimensions(user, tip).values()), row_parts(review)
+    return skew_join(of_business, dims, "user_id", hot=hot, spread=spread, dim_parts=parts)
