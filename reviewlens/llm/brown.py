@@ -12,19 +12,22 @@ bytes), one entry for any other ending, and the end.
 Exchange clustering has two steps. The `core` most frequent words and the endings are exchanged one by one on the
 driver, which needs their pair counts alone. Then rounds over the stored pairs move every other entry at once: tasks
 count the classes before and after each entry and move it to the class under which these are likeliest, the class
-pairs of the round before being given. A round that does not raise the likelihood of the whole table is undone and
+pairs of the round before being given. Counts travel and are stored as lists, many to a row: a row for each would cost
+more than all arithmetic on it. A round that does not raise the likelihood of the whole table is undone and
 is the last. The driver and the tasks hold only what is bounded by parameters: the head, and one class for each entry.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 from hashlib import blake2b
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,13 @@ END = b""
 LONGEST = 64
 _FLUSH = 400_000
 _PAIRS_AT_ONCE = 2_000_000
+_PAIRS_IN_ROW = 64
+_ROWS_AT_ONCE = 8192
+_TOKENS_A_PART = 250_000
+_PARTS = 16_384
+_ENTRIES_A_PART = 128
+
+Judge = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 @dataclass(frozen=True)
@@ -66,6 +76,7 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches):
         counts: Counter[bytes] = Counter()
+        known = 0
 
         def rows():
             batch = pa.record_batch(
@@ -77,16 +88,50 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
             for value in batch.column(0).to_pylist():
                 counts.update(words_of(value))
             counts[END] += batch.num_rows
-            for word in [w for w in counts if len(w) > LONGEST]:
+            new = islice(reversed(counts), max(len(counts) - known, 0))  # a counter keeps the order of its words
+            for word in [w for w in new if len(w) > LONGEST]:
                 counts[word_key(word)] += counts.pop(word)
             if len(counts) > _FLUSH:
                 yield rows()
+            known = len(counts)
         yield rows()
 
     counted = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "word binary, c long")
     return counted.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+# ---------------------------------------------------------------- counts in lists
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """`values` cut into lists of `sizes`."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, pa.int64()))
+
+
+def _flat(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The numbers of a column, or those of its lists, one list after the other."""
+    return np.asarray(pc.list_flatten(column) if pa.types.is_list(column.type) else column)
+
+
+def _by_part(part: np.ndarray, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """One row for each part, with the keys that belong there and their counts. There are at most `_PARTS` parts."""
+    order = np.argsort(part.astype(np.uint16), kind="stable")  # numbers of two bytes are sorted by radix
+    sizes = np.bincount(part)
+    parts = np.flatnonzero(sizes)
+    return pa.record_batch(
+        [pa.array(parts, pa.int32()), _lists(keys[order], sizes[parts]), _lists(n[order], sizes[parts])],
+        names=["part", "pair", "n"])
+
+
+def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of the lists `pair`, in order, and the sums of their counts."""
+    keys, n = _flat(table["pair"]), _flat(table["n"])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[starts], np.add.reduceat(n[order], starts)
+
+
 # ---------------------------------------------------------------- classes
 
 
@@ -145,6 +190,7 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
 def class_table(pairs: DataFrame, own: np.ndarray) -> np.ndarray:
     """Counts of neighbouring classes, the pairs of entries being `pair` (first * entries + second) and `n`.
 
+    A row of `pairs` has one pair and its count, or lists of pairs and of their counts.
     With the entries' own numbers as classes this is the whole pair table; tasks send one row for each pair of classes.
     """
     size, wide = len(own), int(own.max()) + 1
@@ -152,8 +198,8 @@ def class_table(pairs: DataFrame, own: np.ndarray) -> np.ndarray:
 
     def run(batches):
         own, total = shared.value, np.zeros(wide * wide, dtype=np.int64)
-        for batch in batches:
-            pair, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        for batch in slices(batches, _ROWS_AT_ONCE):
+            pair, n = _flat(batch.column(0)), _flat(batch.column(1))
             np.add.at(total, own[pair // size] * wide + own[pair % size], n)
         keys = np.flatnonzero(total)
         yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(total[keys], pa.int64())], names=["pair", "n"])
@@ -170,40 +216,45 @@ def likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
 
 
-def contexts(pairs: DataFrame, own: np.ndarray) -> DataFrame:
+def contexts(pairs: DataFrame, own: np.ndarray, judge: Judge | None = None) -> DataFrame:
     """`entry`, `seen`: how often each class comes after an entry (slot: the class) and before it (slot: K + class).
 
-    An entry has at most two slots a class, so no group is large, however frequent a word is.
+    An entry has at most two slots a class, so no group is large, however frequent a word is. A task counts all its
+    pairs before it sends them in a row for each part; parts are dealt by remainder, so frequent words lie apart.
+    With `judge` the result is `entry`, `k`: the entries that it returns of each part's entries and their counts by slot,
+    and their classes. It is called where the counts meet, so they need no second Python worker.
     """
     size, wide = len(own), int(own.max()) + 1
+    slots, parts = 2 * wide, min(size // _ENTRIES_A_PART + 1, _PARTS)
     shared = pairs.sparkSession.sparkContext.broadcast(own.astype(np.int64))
 
     def run(batches):
-        own, waiting, held = shared.value, [], 0
-
-        def rows():
-            keys, n = (np.concatenate(part) for part in zip(*waiting))
-            waiting.clear()
-            keys, at = np.unique(keys, return_inverse=True)
-            n = np.bincount(at, weights=n).astype(np.int64)
-            slots = 2 * wide
-            return pa.record_batch([pa.array(keys // slots, pa.int32()), pa.array(keys % slots, pa.int32()), pa.array(n)],
-                                   names=["entry", "slot", "n"])
-
-        for batch in batches:
-            pair, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        own, total = shared.value, np.zeros(size * slots, dtype=np.int64)
+        for batch in slices(batches, _ROWS_AT_ONCE):
+            pair, n = _flat(batch.column(0)), _flat(batch.column(1))
             first, second = pair // size, pair % size
-            waiting += [(first * 2 * wide + own[second], n), ((second * 2 + 1) * wide + own[first], n)]
-            held += len(pair)
-            if held > _PAIRS_AT_ONCE:
-                held = 0
-                yield rows()
-        if waiting:
-            yield rows()
-
-    found = pairs.select("pair", "n").mapInArrow(run, "entry int, slot int, n long")
-    summed = found.groupBy("entry", "slot").agg(F.sum("n").alias("n"))
-    return summed.groupBy("entry").agg(F.collect_list(F.struct("slot", "n")).alias("seen"))
+            np.add.at(total, first * slots + own[second], n)
+            np.add.at(total, second * slots + wide + own[first], n)
+        for start in range(0, len(total), _PAIRS_AT_ONCE):
+            keys = np.flatnonzero(total[start : start + _PAIRS_AT_ONCE]) + start
+            if len(keys):
+                yield _by_part(keys // slots % parts, keys, total[keys])
+
+    def meet(table: pa.Table) -> pa.Table:
+        keys, n = _summed(table)
+        entries, row, sizes = np.unique(keys // slots, return_inverse=True, return_counts=True)
+        if judge is not None:
+            dense = np.zeros((len(entries), slots))
+            dense[row, keys % slots] = n
+            moved, k = judge(entries, dense)
+            return pa.table({"entry": pa.array(moved, pa.int32()), "k": pa.array(k, pa.int32())})
+        seen = pa.StructArray.from_arrays([pa.array(keys % slots, pa.int32()), pa.array(n)], names=["slot", "n"])
+        ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+        return pa.table({"entry": pa.array(entries, pa.int32()), "seen": pa.ListArray.from_arrays(ends, seen)})
+
+    found = pairs.select("pair", "n").mapInArrow(run, "part int, pair array<long>, n array<long>")
+    kind = "seen array<struct<slot: int, n: bigint>>" if judge is None else "k int"
+    return found.groupBy("part").applyInArrow(meet, f"entry int, {kind}")
 
 
 def best_classes(entries: np.ndarray, seen: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -239,20 +290,13 @@ def exchange_rounds(pairs: DataFrame, own: np.ndarray, fixed: int, rounds: int)
     for _ in range(rounds):
         shared, last = spark.sparkContext.broadcast((own, table)), len(own) - 1
 
-        def run(batches):
+        def judge(entries, seen):
             own, table = shared.value
-            for batch in slices(batches, 4096):
-                seen = batch.column(1)
-                flat = seen.flatten()
-                row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(seen.offsets)))
-                dense = np.zeros((batch.num_rows, 2 * len(table)))
-                dense[row, np.asarray(flat.field(0))] = np.asarray(flat.field(1))
-                entries = np.asarray(batch.column(0))
-                best = best_classes(entries, dense, own, table)
-                moved = (best != own[entries]) & (entries >= fixed) & (entries < last)
-                yield pa.record_batch([pa.array(entries[moved]), pa.array(best[moved], pa.int32())], names=["entry", "k"])
-
-        moves = contexts(pairs, own).mapInArrow(run, "entry int, k int").toArrow()  # one row an entry at most
+            best = best_classes(entries, seen, own, table)
+            moved = (best != own[entries]) & (entries >= fixed) & (entries < last)
+            return entries[moved], best[moved]
+
+        moves = contexts(pairs, own, judge).toArrow()  # one row an entry at most
         if not moves.num_rows:
             break
         after = own.copy()
@@ -290,9 +334,14 @@ def _endings(head: list[tuple[bytes, int]], cfg: BrownConfig) -> list[bytes]:
     return sorted(endings, key=lambda e: (-endings[e], e))[: cfg.shapes]
 
 
-def _pair_counts(docs: DataFrame, head: dict[bytes, int], shapes: dict[bytes, int], size: int) -> DataFrame:
-    """`pair`, `n`: counts of neighbouring entries over the whole texts; the end stands on both sides of a text."""
+def _pair_counts(docs: DataFrame, head: dict[bytes, int], shapes: dict[bytes, int], size: int, tokens: int) -> DataFrame:
+    """Lists `pair`, `n`: counts of neighbouring entries over the whole texts; the end stands on both sides of a text.
+
+    Each pair is in one list, and a list has at most 64. Pairs meet in parts, dealt by their remainder, one for each
+    250,000 `tokens`, 16,384 at most: a frequent word's pairs are spread over all of them.
+    """
     other, end = size - 2, size - 1
+    parts = min(tokens // _TOKENS_A_PART + 1, _PARTS)
     shared = docs.sparkSession.sparkContext.broadcast((head, shapes))
 
     def run(batches):
@@ -302,7 +351,7 @@ def _pair_counts(docs: DataFrame, head: dict[bytes, int], shapes: dict[bytes, in
         def rows():
             keys, found = np.unique(np.concatenate(waiting), return_counts=True)
             waiting.clear()
-            return pa.record_batch([pa.array(keys, pa.int64()), pa.array(found, pa.int64())], names=["pair", "n"])
+            return _by_part(keys % parts, keys, found)
 
         for batch in slices(batches):
             line = [end]
@@ -325,8 +374,14 @@ def _pair_counts(docs: DataFrame, head: dict[bytes, int], shapes: dict[bytes, in
         if waiting:
             yield rows()
 
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "pair long, n long")
-    return found.groupBy("pair").agg(F.sum("n").alias("n"))
+    def meet(table: pa.Table) -> pa.Table:
+        keys, n = _summed(table)
+        sizes = np.diff(np.append(np.arange(0, len(keys), _PAIRS_IN_ROW), len(keys)))
+        return pa.table({"pair": _lists(keys, sizes), "n": _lists(n, sizes)})
+
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "part int, pair array<long>, n array<long>")
+    return found.groupBy("part").applyInArrow(meet, "pair array<long>, n array<long>")
 
 
 def fit(docs: DataFrame, text: str = "text", cfg: BrownConfig = BrownConfig()) -> BrownModel:
@@ -341,7 +396,7 @@ def fit(docs: DataFrame, text: str = "text", cfg: BrownConfig = BrownConfig()) -
     ranked = _endings(head, cfg)
     shapes = {ending: len(head) + i for i, ending in enumerate(ranked)}
     size = len(head) + len(shapes) + 2
-    pairs = stored(_pair_counts(docs, {w: i for i, (w, _) in enumerate(head)}, shapes, size), "pairs")
+    pairs = stored(_pair_counts(docs, {w: i for i, (w, _) in enumerate(head)}, shapes, size, tokens), "pairs")
 
     # The core's entries: its words, the endings (of all other words, those of the head included), the end.
     core = min(cfg.core, len(head))

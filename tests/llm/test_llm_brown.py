@@ -104,6 +104,41 @@ def test_contexts_count_classes_on_both_sides(spark):
     assert (got == np.hstack([pairs @ hot, pairs.T @ hot])).all()
 
 
+def test_long_words_of_every_slice_are_keyed(spark):
+    texts = [f"a{i % 300} {'x' * (60 + i % 10)} {'y' * (70 + i % 3)}" for i in range(700)]  # three slices
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    want = Counter(brown.word_key(w) for t in texts for w in brown.words_of(t)) + Counter({brown.END: len(texts)})
+    rows = brown.count_words(docs).collect()
+    assert {bytes(r.word): r.c for r in rows} == want and len(rows) == len(want)
+    assert max(len(r.word) for r in rows) <= 64
+
+
+def test_pairs_meet_and_are_stored_in_lists(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("text").unionByName(
+        odd_documents(spark).select("text")).repartition(3)
+    texts = [brown.words_of(r.text) for r in docs.collect()]
+    head = {w: i for i, (w, _) in enumerate(Counter(w for t in texts for w in t).most_common(300))}
+    shapes = {b"ed": 300, b"ng": 301}
+    size = 304
+    want: Counter = Counter()
+    for text in texts:
+        line = [303, *(head.get(w, shapes.get(brown.word_key(w)[-2:], 302)) for w in text), 303]
+        want.update(a * size + b for a, b in zip(line, line[1:]))
+    for tokens in (0, 3_000_000):  # one part, thirteen parts
+        lists = brown._pair_counts(docs, head, shapes, size, tokens).persist()
+        rows = lists.collect()
+        pairs = [(p, n) for r in rows for p, n in zip(r.pair, r.n, strict=True)]
+        assert len(pairs) == len(want) and dict(pairs) == want  # no pair twice
+        assert max(len(r.pair) for r in rows) <= 64 and len(rows) <= len(pairs) / 64 + 13
+        flat = spark.createDataFrame(pairs, "pair long, n long").repartition(3)
+        own = np.append(np.arange(size - 1) % 5, 5)
+        assert (brown.class_table(lists, own) == brown.class_table(flat, own)).all()
+        seen = [{r.entry: sorted(r.seen) for r in brown.contexts(table, own).collect()} for table in (lists, flat)]
+        assert seen[0] == seen[1] and max(len(s) for s in seen[0].values()) <= 12  # a slot once, before and after
+        assert sum(n for s in seen[0].values() for _, n in s) == 2 * want.total()
+        lists.unpersist()
+
+
 def test_all_words_of_the_head_are_clustered_and_raise_the_likelihood(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     few = brown.fit(docs, cfg=brown.BrownConfig(rounds=0))
